@@ -55,11 +55,11 @@ def elapsed_current(df: DataFrame, source: str = "prior_question_elapsed_time",
 
     Next-container lookup is an equi-join on (user, container + 1) of a per-container table."""
     nxt = _question_containers(df, source).select(
-        "user_id", (F.col(TCQ) - 1).alias(TCQ), F.col("_v").alias("_next"))
-    val = round_long("_next") if rounded else F.col("_next")
+        "user_id", (F.col(TCQ) - 1).alias(TCQ), F.col("_v").alias("_nv"))
+    val = round_long("_nv") if rounded else F.col("_nv")
     return (df.join(nxt, ["user_id", TCQ], "left")
               .withColumn(name, F.when(IS_L, F.lit(0)).otherwise(val))
-              .drop("_next"))
+              .drop("_nv"))
 
 
 def ts_delta(df: DataFrame) -> DataFrame:
