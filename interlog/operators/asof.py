@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from interlog.functions.expr import clip_count, round_long, safe_avg, safe_pct
-from interlog.operators.containers import IS_L, IS_Q, TC, TCQ
+from interlog.operators.containers import is_l, is_q, TC, TCQ
 from interlog.operators.prefix import prior_totals
 
 CHUNK_CONTAINERS = 4096
@@ -20,7 +20,7 @@ CHUNK_CONTAINERS = 4096
 
 def _families(suffix: str, with_lectures: bool = True) -> dict[str, Column]:
     vals = {f"ac_cumsum{suffix}": F.col("answered_correctly"),
-            f"r_cumcnt{suffix}": IS_Q.cast("long")}
+            f"r_cumcnt{suffix}": is_q().cast("long")}
     if with_lectures:
         vals[f"l_cumcnt{suffix}"] = F.col("content_type_id")
     vals[f"pqet_cumsum{suffix}"] = F.col("pqet_current")
@@ -61,7 +61,7 @@ def asof_user_content_part(df: DataFrame, content: DataFrame,
 def tag_response(train: DataFrame, content: DataFrame) -> DataFrame:
     """Question rows exploded by their content's tags: one row per (interaction, tag)."""
     tags = content.select("ql_id", "part", F.explode("tags_array").alias("tag"))
-    q = train.where(IS_Q).select("user_id", "row_id", TC, TCQ, "ql_id", "content_type_id",
+    q = train.where(is_q()).select("user_id", "row_id", TC, TCQ, "ql_id", "content_type_id",
                                  "answered_correctly", "pqet_current")
     return q.join(tags, "ql_id").select(
         "user_id", "row_id", TC, TCQ, "ql_id", "content_type_id", "part", "tag",
@@ -93,10 +93,10 @@ def asof_session(df: DataFrame, hours: float = 18, chunk_size: int = CHUNK_CONTA
     the full container id; lectures all sit in session 0, so it equals the user lecture count there.
     """
     gap = int(hours * 3_600_000)
-    q = df.where(IS_Q)
+    q = df.where(is_q())
     flags = q.groupBy("user_id", TCQ).agg(
         F.sum(F.when(F.col("ts_delta") > gap, 1).otherwise(0)).cast("long").alias("_flags"))
-    vals = {"_ac": F.col("answered_correctly"), "_r": IS_Q.cast("long"),
+    vals = {"_ac": F.col("answered_correctly"), "_r": is_q().cast("long"),
             "_e": F.col("pqet_current"), "_f": F.col("_flag")}
     prior = prior_totals(q.withColumn("_flag", F.when(F.col("ts_delta") > gap, 1).otherwise(0)),
                          ["user_id"], TCQ, vals, chunk_size)
@@ -149,7 +149,7 @@ def top_content_cumsums(df: DataFrame, content_ids: Sequence[int],
                         chunk_size: int = CHUNK_CONTAINERS) -> DataFrame:
     """PRIOR counts of answers to a fixed list of contents, per user, by question container.
     Output: one row per question row (``row_id_tc``) with ac / r / pct columns per content id."""
-    q = df.where(IS_Q)
+    q = df.where(is_q())
     vals: dict[str, Column] = {}
     for cid in content_ids:
         vals[f"ac_cumsum_top_cid_{cid}"] = ((F.col("answered_correctly") == 1) & (F.col("content_id") == cid)).cast("long")

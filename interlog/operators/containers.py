@@ -11,8 +11,12 @@ from interlog.operators.prefix import dense_rank0
 TC = "task_container_id"
 TCQ = "task_container_id_q"
 DAY_MS = 86_400_000
-IS_Q = F.col("content_type_id") == 0
-IS_L = F.col("content_type_id") == 1
+def is_q():
+    return F.col("content_type_id") == 0
+
+
+def is_l():
+    return F.col("content_type_id") == 1
 
 
 def fill_missing(df: DataFrame, column: str, value) -> DataFrame:
@@ -22,7 +26,7 @@ def fill_missing(df: DataFrame, column: str, value) -> DataFrame:
 
 def zero_lecture_answers(df: DataFrame) -> DataFrame:
     """Answer flag is -1 on lectures in the raw data; set it to 0 so window totals include lectures."""
-    return df.withColumn("answered_correctly", F.when(IS_L, F.lit(0).cast("long"))
+    return df.withColumn("answered_correctly", F.when(is_l(), F.lit(0).cast("long"))
                          .otherwise(F.col("answered_correctly")))
 
 
@@ -35,17 +39,17 @@ def rerank_containers(df: DataFrame, column: str = TC, excl_lectures: bool = Fal
     """``column`` = dense rank - 1 of the timestamp per user (question rows only if ``excl_lectures``;
     lectures then get null). Ranks come from the chunked prefix count, then an equi-join on
     (user, timestamp) puts them back on the rows."""
-    src = df.where(IS_Q) if excl_lectures else df
+    src = df.where(is_q()) if excl_lectures else df
     ranks = dense_rank0(src, ["user_id"], "timestamp", column, chunk_ms)
     out = df.drop(column) if column in df.columns else df
     out = out.join(ranks, ["user_id", "timestamp"], "left")
     if excl_lectures:
-        out = out.withColumn(column, F.when(IS_Q, F.col(column)))
+        out = out.withColumn(column, F.when(is_q(), F.col(column)))
     return out
 
 
 def _question_containers(df: DataFrame, value: str) -> DataFrame:
-    return (df.where(IS_Q).groupBy("user_id", TCQ)
+    return (df.where(is_q()).groupBy("user_id", TCQ)
               .agg(F.max(value).alias("_v"), F.max("timestamp").alias("_ts")))
 
 
@@ -58,7 +62,7 @@ def elapsed_current(df: DataFrame, source: str = "prior_question_elapsed_time",
         "user_id", (F.col(TCQ) - 1).alias(TCQ), F.col("_v").alias("_nv"))
     val = round_long("_nv") if rounded else F.col("_nv")
     return (df.join(nxt, ["user_id", TCQ], "left")
-              .withColumn(name, F.when(IS_L, F.lit(0)).otherwise(val))
+              .withColumn(name, F.when(is_l(), F.lit(0)).otherwise(val))
               .drop("_nv"))
 
 
@@ -67,7 +71,7 @@ def ts_delta(df: DataFrame) -> DataFrame:
     prev = _question_containers(df, "timestamp").select(
         "user_id", (F.col(TCQ) + 1).alias(TCQ), F.col("_ts").alias("_prev_ts"))
     return (df.join(prev, ["user_id", TCQ], "left")
-              .withColumn("ts_delta", F.when(IS_L, F.lit(0).cast("long"))
+              .withColumn("ts_delta", F.when(is_l(), F.lit(0).cast("long"))
                           .otherwise(F.col("timestamp") - F.col("_prev_ts")))
               .drop("_prev_ts"))
 
@@ -79,7 +83,7 @@ def container_neighbours(df: DataFrame) -> DataFrame:
     prev = qc.select("user_id", (F.col(TCQ) + 1).alias(TCQ), F.col("_ts").alias("_prev_ts"))
     both = nxt.join(prev, ["user_id", TCQ], "full")
     return (df.join(both, ["user_id", TCQ], "left")
-              .withColumn("pqet_current", F.when(IS_L, F.lit(0).cast("long")).otherwise(round_long("_next")))
-              .withColumn("ts_delta", F.when(IS_L, F.lit(0).cast("long"))
+              .withColumn("pqet_current", F.when(is_l(), F.lit(0).cast("long")).otherwise(round_long("_next")))
+              .withColumn("ts_delta", F.when(is_l(), F.lit(0).cast("long"))
                           .otherwise(F.col("timestamp") - F.col("_prev_ts")))
               .drop("_next", "_prev_ts"))

@@ -6,31 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from interlog.functions.expr import round_long, safe_avg, safe_pct
-from interlog.operators.containers import IS_Q, elapsed_current
+from interlog.operators.containers import is_q, elapsed_current
 
-NEG = F.lit(-1).cast("long")
+def _neg():
+    return F.lit(-1).cast("long")
 
 
 def content_correct_pct(train: DataFrame, content: DataFrame, col: str) -> DataFrame:
     """% correct over question rows per ``col`` (question_id or part), on every content row with that value."""
-    calc = (train.where(IS_Q).select("ql_id", "answered_correctly")
+    calc = (train.where(is_q()).select("ql_id", "answered_correctly")
             .join(content.select("ql_id", col), "ql_id")
             .groupBy(col).agg(F.coalesce(round_long(
-                F.try_divide(F.sum("answered_correctly") * 100, F.count("answered_correctly"))), NEG)
+                F.try_divide(F.sum("answered_correctly") * 100, F.count("answered_correctly"))), _neg())
                 .alias(f"{col}_correct_pct")))
     return content.join(calc, col, "left")
 
 
 def content_elapsed_avg(train: DataFrame, content: DataFrame, col: str) -> DataFrame:
     """Average of the next container's elapsed time per ``col``; -1 when undefined."""
-    nxt = elapsed_current(train.where(IS_Q), "prior_question_elapsed_time", "_next", rounded=False)
+    nxt = elapsed_current(train.where(is_q()), "prior_question_elapsed_time", "_next", rounded=False)
     calc = (nxt.select("ql_id", "_next").join(content.select("ql_id", col), "ql_id")
-               .groupBy(col).agg(F.coalesce(round_long(F.avg("_next")), NEG).alias(f"{col}_pqet_avg")))
+               .groupBy(col).agg(F.coalesce(round_long(F.avg("_next")), _neg()).alias(f"{col}_pqet_avg")))
     return content.join(calc, col, "left")
 
 
 def _tag_totals(tag_resp: DataFrame, keys: list[str]) -> DataFrame:
-    return (tag_resp.where(IS_Q).groupBy(*keys)
+    return (tag_resp.where(is_q()).groupBy(*keys)
             .agg(F.sum("answered_correctly").alias("_ac"), F.count("answered_correctly").alias("_r"),
                  F.sum("pqet_current").alias("_e")))
 

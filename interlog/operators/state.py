@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from interlog.operators.containers import IS_Q, TC
+from interlog.operators.containers import is_q, TC
 
 
 def _totals(suffix: str, cond=None):
     def f(c):
         return F.when(cond, c) if cond is not None else c
     return [F.sum(f(F.col("answered_correctly"))).alias(f"ac_cumsum{suffix}"),
-            F.sum(f(IS_Q.cast("long"))).alias(f"r_cumcnt{suffix}"),
+            F.sum(f(is_q().cast("long"))).alias(f"r_cumcnt{suffix}"),
             F.sum(f(F.col("content_type_id"))).alias(f"l_cumcnt{suffix}"),
             F.sum(f(F.col("pqet_current"))).alias(f"pqet_cumsum{suffix}")]
 

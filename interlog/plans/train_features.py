@@ -58,6 +58,29 @@ class Tables:
         return self._memo("train", lambda: cut_lineage(build_asof_features(
             self.train_base(), self.content(), self.tag_response())))
 
+    def folds(self) -> DataFrame:
+        from interlog.operators.folds import make_folds
+        return self._memo("folds", lambda: cut_lineage(make_folds(self.train_base())))
+
+    def ftrain(self) -> DataFrame:
+        """Train features with the fold column."""
+        from interlog.operators.folds import apply_folds
+        return self._memo("ftrain", lambda: cut_lineage(apply_folds(self.train(), self.folds())))
+
+    def content_full(self) -> DataFrame:
+        """Content dimension with the difficulty aggregates (question / part / tags / part + tags)."""
+        from interlog.operators.content_stats import content_after
+        return self._memo("content_full", lambda: sized_broadcast(cut_lineage(
+            content_after(self.train_base(), self.tag_response(), self.content()))))
+
+    def ewma_stats(self) -> DataFrame:
+        from interlog.operators.rolling import ewma_stats
+        return self._memo("ewma_stats", lambda: cut_lineage(ewma_stats(self.train_base())))
+
+    def roll_stats(self) -> DataFrame:
+        from interlog.operators.rolling import rolling_time_stats
+        return self._memo("roll_stats", lambda: cut_lineage(rolling_time_stats(self.train_base())))
+
     def tag_response(self) -> DataFrame:
         return self._memo("tag_response", lambda: cut_lineage(
             asof.tag_response(self.train_base(), self.content())))
