@@ -38,4 +38,4 @@ def T(spark, sf_dir):
 
 
 # Import the query modules so that they register themselves.
-from interlog.plans import q_core, q_aggs, q_more, q_stream  # noqa: E402,F401
+from interlog.plans import q_core, q_aggs, q_more, q_stream, q_io  # noqa: E402,F401
