@@ -23,9 +23,14 @@ CHUNK = "_chunk"
 OWN = "_own"
 
 
+def _chunk(order: str, chunk_size: float):
+    return F.floor(F.col(order) / F.lit(chunk_size))
+
+
 def _prefix_over_groups(per: DataFrame, keys: Sequence[str], order: str, names: Sequence[str],
                         chunk_size: float) -> DataFrame:
-    per = per.withColumn(CHUNK, F.floor(F.col(order) / F.lit(chunk_size)))
+    """``per`` has one row per (keys, order) and a ``_chunk`` column, hash-partitioned on (keys, chunk):
+    chunk totals and the within-chunk window then need no further exchange."""
     totals = per.groupBy(*keys, CHUNK).agg(*[F.sum(n).alias(n) for n in names])
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, CHUNK, *[
@@ -43,16 +48,17 @@ def prior_totals(df: DataFrame, keys: Sequence[str], order: str, values: Mapping
     Rows with a null ``order`` are ignored. Keys must be non-null.
     """
     names = list(values)
-    per = (df.where(F.col(order).isNotNull())
-             .groupBy(*keys, order).agg(*[F.sum(c).alias(n) for n, c in values.items()]))
+    per = (df.where(F.col(order).isNotNull()).withColumn(CHUNK, _chunk(order, chunk_size))
+             .repartition(*keys, CHUNK)
+             .groupBy(*keys, CHUNK, order).agg(*[F.sum(c).alias(n) for n, c in values.items()]))
     return _prefix_over_groups(per, keys, order, names, chunk_size)
 
 
 def dense_rank0(df: DataFrame, keys: Sequence[str], order: str, name: str,
                 chunk_size: float) -> DataFrame:
     """One row per distinct (keys, order): ``name`` = number of distinct smaller order values."""
-    per = (df.select(*keys, order).where(F.col(order).isNotNull()).distinct()
-             .withColumn(name, F.lit(1).cast("long")))
+    per = (df.select(*keys, order).where(F.col(order).isNotNull()).withColumn(CHUNK, _chunk(order, chunk_size))
+             .repartition(*keys, CHUNK).distinct().withColumn(name, F.lit(1).cast("long")))
     return _prefix_over_groups(per, keys, order, [name], chunk_size)
 
 

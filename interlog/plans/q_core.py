@@ -154,9 +154,7 @@ def q_train_transforms(spark, sf):
 
 @register("asof_user_content_part", f"SELECT row_id, user_id, task_container_id, {_cols(ASOF50)} FROM f50")
 def q_asof50(spark, sf):
-    t = T(spark, sf)
-    return asof.asof_user_content_part(t.train_base(), t.content()).select(
-        "row_id", "user_id", "task_container_id", *ASOF50)
+    return T(spark, sf).train50().select("row_id", "user_id", "task_container_id", *ASOF50)
 
 
 TR_COLS = ["user_id", "row_id", "task_container_id", "task_container_id_q", "ql_id", "content_type_id",
@@ -183,9 +181,7 @@ def q_asof52(spark, sf):
 
 @register("asof_upto", f"SELECT row_id, {_cols(ASOF66)} FROM feats")
 def q_asof66(spark, sf):
-    t = T(spark, sf)
-    base = asof.asof_user_content_part(t.train_base(), t.content())
-    return asof.asof_upto(base, 10).select("row_id", *ASOF66)
+    return asof.asof_upto(T(spark, sf).train50(), 10).select("row_id", *ASOF66)
 
 
 TOP = (3, 17, 42, 64, 99)

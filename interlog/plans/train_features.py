@@ -31,9 +31,12 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return fixture.read(self.spark, self.sf_dir, name)
 
-    def _memo(self, key, build):
+    def _table(self, key: str, build, small: bool = False) -> DataFrame:
+        """Build once per session and input folder, materialise in the shared checkpoint folder; small
+        dimension tables get a broadcast hint after their row count is checked."""
         if key not in self.cache:
-            self.cache[key] = build()
+            df = cut_lineage(build(), key)
+            self.cache[key] = sized_broadcast(df) if small else df
         return self.cache[key]
 
     def interactions(self) -> DataFrame:
@@ -46,44 +49,47 @@ class Tables:
         return fixture.lectures(self.raw("events"))
 
     def content(self) -> DataFrame:
-        """Content dimension, materialised; broadcast only after its row count is checked."""
-        return self._memo("content", lambda: sized_broadcast(cut_lineage(
-            content_ops.content_dimension(self.questions(), self.lectures()))))
+        """Content dimension (rows 30, 31)."""
+        return self._table("content", lambda: content_ops.content_dimension(self.questions(), self.lectures()),
+                           small=True)
 
     def train_base(self) -> DataFrame:
-        return self._memo("train_base", lambda: cut_lineage(build_train_base(self.interactions(), self.content())))
+        """Container transforms (rows 13-15, 32, 47-49)."""
+        return self._table("train_base", lambda: build_train_base(self.interactions(), self.content()))
+
+    def train50(self) -> DataFrame:
+        """Train table with the user / content / part family (row 50)."""
+        return self._table("train50", lambda: asof.asof_user_content_part(self.train_base(), self.content()))
+
+    def tag_response(self) -> DataFrame:
+        return self._table("tag_response", lambda: asof.tag_response(self.train_base(), self.content()))
 
     def train(self) -> DataFrame:
         """Train table with all as-of families (rows 50, 51, 52, 66)."""
-        return self._memo("train", lambda: cut_lineage(build_asof_features(
-            self.train_base(), self.content(), self.tag_response())))
+        return self._table("train", lambda: build_asof_features(self.train50(), self.content(), self.tag_response()))
 
     def folds(self) -> DataFrame:
         from interlog.operators.folds import make_folds
-        return self._memo("folds", lambda: cut_lineage(make_folds(self.train_base())))
+        return self._table("folds", lambda: make_folds(self.train_base()))
 
     def ftrain(self) -> DataFrame:
         """Train features with the fold column."""
         from interlog.operators.folds import apply_folds
-        return self._memo("ftrain", lambda: cut_lineage(apply_folds(self.train(), self.folds())))
+        return self._table("ftrain", lambda: apply_folds(self.train(), self.folds()))
 
     def content_full(self) -> DataFrame:
-        """Content dimension with the difficulty aggregates (question / part / tags / part + tags)."""
+        """Content dimension with the difficulty aggregates (rows 62-65)."""
         from interlog.operators.content_stats import content_after
-        return self._memo("content_full", lambda: sized_broadcast(cut_lineage(
-            content_after(self.train_base(), self.tag_response(), self.content()))))
+        return self._table("content_full", lambda: content_after(self.train_base(), self.tag_response(),
+                                                                 self.content()), small=True)
 
     def ewma_stats(self) -> DataFrame:
         from interlog.operators.rolling import ewma_stats
-        return self._memo("ewma_stats", lambda: cut_lineage(ewma_stats(self.train_base())))
+        return self._table("ewma_stats", lambda: ewma_stats(self.train_base()))
 
     def roll_stats(self) -> DataFrame:
         from interlog.operators.rolling import rolling_time_stats
-        return self._memo("roll_stats", lambda: cut_lineage(rolling_time_stats(self.train_base())))
-
-    def tag_response(self) -> DataFrame:
-        return self._memo("tag_response", lambda: cut_lineage(
-            asof.tag_response(self.train_base(), self.content())))
+        return self._table("roll_stats", lambda: rolling_time_stats(self.train_base()))
 
 
 _TABLES: dict[tuple, Tables] = {}
@@ -112,9 +118,9 @@ def build_train_base(raw: DataFrame, content: DataFrame) -> DataFrame:
     return t
 
 
-def build_asof_features(train: DataFrame, content: DataFrame, tag_resp: DataFrame) -> DataFrame:
-    t = asof.asof_user_content_part(train, content)
-    t = asof.asof_tags(t, tag_resp)
+def build_asof_features(train50: DataFrame, content: DataFrame, tag_resp: DataFrame) -> DataFrame:
+    """Rows 51, 52 and 66 on top of the row-50 table (``asof_user_content_part``)."""
+    t = asof.asof_tags(train50, tag_resp)
     t = asof.asof_session(t, SESSION_HOURS)
     t = asof.asof_upto(t, UPTO)
     return t

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,13 +57,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    Reliable checkpoints survive executor loss, unlike cached or locally checkpointed data.
+    Like a reliable checkpoint it drops the lineage and survives executor loss (unlike cached or
+    locally checkpointed data); unlike an RDD checkpoint, later scans prune columns and push filters
+    down into the files.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "interlog-tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:

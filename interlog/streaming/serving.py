@@ -8,6 +8,7 @@ versioned parquet snapshots that ``foreachBatch`` merges each micro-batch (``for
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,35 +137,45 @@ ASOF_STATE = "ac long, r long, l long, e long, pending long"
 def _asof_step(key, pdfs, state):
     """Per user: for each container (rows sharing a timestamp) in time order, emit the totals of all
     earlier containers, then add the container. The elapsed time of the last question container is
-    only known when the next question container arrives (its "prior" field), so it stays pending."""
+    only known when the next question container arrives (its "prior" field), so it stays pending.
+    Per-container sums are vectorised; only the short loop over this batch's containers is Python."""
     ac, r, lec, e, pending = state.get if state.exists else (0, 0, 0, 0, 0)
-    frames = [p for p in pdfs]
+    frames = [p for p in pdfs if len(p)]
     if not frames:
         return
-    pdf = pd.concat(frames).sort_values(["timestamp", "row_id"])
-    out = []
-    for _, c in pdf.groupby("timestamp", sort=True):
-        qs = c[c.content_type_id == 0]
-        if len(qs):
-            pq = qs.prior_question_elapsed_time.max()
-            if pending and pd.notna(pq):
-                e += int(pending * _round_half_away(pq))
-            elif pending:
-                pending = pending  # elapsed time unknown: nothing to add
-        out.append(pd.DataFrame({"row_id": c.row_id.values, "user_id": c.user_id.values,
-                                 "ac_cumsum": ac, "r_cumcnt": r, "l_cumcnt": lec, "pqet_cumsum": e}))
-        ac += int(qs.answered_correctly.clip(lower=0).sum())
-        r += len(qs)
-        lec += int((c.content_type_id == 1).sum())
-        if len(qs):
-            pending = len(qs)
+    pdf = pd.concat(frames).sort_values(["timestamp", "row_id"], kind="stable")
+    ts = pdf["timestamp"].to_numpy()
+    typ = pdf["content_type_id"].to_numpy()
+    ans = pdf["answered_correctly"].to_numpy()
+    pq = pdf["prior_question_elapsed_time"].to_numpy(dtype="float64")
+    starts = np.flatnonzero(np.r_[True, ts[1:] != ts[:-1]])
+    cid = np.cumsum(np.r_[True, ts[1:] != ts[:-1]]) - 1
+    n = len(starts)
+    isq = typ == 0
+    q_cnt = np.bincount(cid, weights=isq, minlength=n).astype("int64")
+    l_cnt = np.bincount(cid, weights=typ == 1, minlength=n).astype("int64")
+    ac_cnt = np.bincount(cid, weights=np.where(isq, np.clip(ans, 0, None), 0), minlength=n).astype("int64")
+    pq_max = np.maximum.reduceat(np.where(isq & ~np.isnan(pq), pq, -np.inf), starts)
+    out = np.empty((n, 4), dtype="int64")
+    for i in range(n):
+        if q_cnt[i]:
+            if pending and np.isfinite(pq_max[i]):
+                e += pending * _round_half_away(pq_max[i])
+        out[i] = (ac, r, lec, e)
+        ac += int(ac_cnt[i])
+        r += int(q_cnt[i])
+        lec += int(l_cnt[i])
+        if q_cnt[i]:
+            pending = int(q_cnt[i])
     state.update((ac, r, lec, e, pending))
-    yield pd.concat(out, ignore_index=True)
+    vals = out[cid]
+    yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "user_id": pdf["user_id"].to_numpy(),
+                        "ac_cumsum": vals[:, 0], "r_cumcnt": vals[:, 1], "l_cumcnt": vals[:, 2],
+                        "pqet_cumsum": vals[:, 3]})
 
 
 def _round_half_away(x: float) -> int:
-    import math
-    return int(math.floor(abs(x) + 0.5)) * (1 if x >= 0 else -1)
+    return int(np.floor(abs(x) + 0.5)) * (1 if x >= 0 else -1)
 
 
 def streaming_asof_features(stream: DataFrame) -> DataFrame:
