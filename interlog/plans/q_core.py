@@ -49,6 +49,24 @@ def q_keep_original(spark, sf):
     return containers.keep_original_container(T(spark, sf).interactions()).select("row_id", "tid_orig")
 
 
+@register("safe_pct", """
+SELECT row_id, COALESCE(CAST(round(CAST(ac_cumsum_content_id AS DOUBLE) * 100 / NULLIF(r_cumcnt_content_id, 0)) AS BIGINT), -1)
+         AS pct_content_id,
+       COALESCE(CAST(round(CAST(pqet_cumsum AS DOUBLE) / NULLIF(r_cumcnt, 0)) AS BIGINT), -1) AS avg_pqet
+FROM f50""")
+def q_safe_pct(spark, sf):
+    from interlog.functions.expr import safe_avg, safe_pct
+    t = T(spark, sf).train50()
+    return t.select("row_id", safe_pct("ac_cumsum_content_id", "r_cumcnt_content_id").alias("pct_content_id"),
+                    safe_avg("pqet_cumsum", "r_cumcnt").alias("avg_pqet"))
+
+
+@register("clip_count", "SELECT row_id, LEAST(r_cumcnt, 30) AS r_cumcnt_clip30 FROM f50")
+def q_clip_count(spark, sf):
+    from interlog.functions.expr import clip_count
+    return T(spark, sf).train50().select("row_id", clip_count("r_cumcnt", 30).alias("r_cumcnt_clip30"))
+
+
 # ---- 2.3 dimension ------------------------------------------------------------------------------
 
 @register("content_dimension", """

@@ -88,14 +88,29 @@ SELECT uid AS user_id,
 FROM k"""
 
 
-@register("upsert_user_state", FOLDS + _U0)
-def q_upsert_users(spark, sf):
-    t = T(spark, sf)
-    d = first_fold_container(t).select("row_id", "user_id", "timestamp", "content_type_id", "answered_correctly")
-    return serving.upsert_user_state(users_state0(t), d, 72, 10)
-
-
-@register("upsert_lecture_state", FOLDS + """
+def _upsert_query(kind):
+    def q(spark, sf):
+        t = T(spark, sf)
+        d = first_fold_container(t).select("row_id", "user_id", "timestamp", "content_type_id", "answered_correctly")
+        if kind is not None:
+            d = d.where(F.col("content_type_id") == kind)
+        return serving.upsert_user_state(users_state0(t), d, 72, 10)
+    return q
+
+
+# row 94 + 95 in the reference's per-batch order (questions, then lectures), and each rule set alone
+register("upsert_user_state", FOLDS + _U0)(_upsert_query(None))
+register("upsert_question_state", FOLDS + _U0.replace(
+    "WHERE t.fold IS NOT NULL AND t.task_container_id = f.task_container_id_min),",
+    "WHERE t.fold IS NOT NULL AND t.task_container_id = f.task_container_id_min AND t.content_type_id = 0),"))(
+    _upsert_query(0))
+register("upsert_lecture_state", FOLDS + _U0.replace(
+    "WHERE t.fold IS NOT NULL AND t.task_container_id = f.task_container_id_min),",
+    "WHERE t.fold IS NOT NULL AND t.task_container_id = f.task_container_id_min AND t.content_type_id = 1),"))(
+    _upsert_query(1))
+
+
+@register("upsert_part_state", FOLDS + """
 , hist2 AS (SELECT * FROM ftrain WHERE fold IS NULL),
 d AS (SELECT t.* FROM ftrain t JOIN folds f ON t.user_id = f.user_id_s
       WHERE t.fold IS NOT NULL AND t.task_container_id = f.task_container_id_min),
