@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from interlog.functions.expr import clip_count, safe_pct, time_units
 from interlog.operators.containers import TC
+from interlog.operators.prefix import prior_extreme
 
 
 def feature_join(train: DataFrame, content: DataFrame, *row_tables: tuple[DataFrame, str]) -> DataFrame:
@@ -113,9 +114,10 @@ def prior_rows_join(train: DataFrame, window: int = 10) -> DataFrame:
     hits = (band.join(rows.select("user_id", "row_id", F.col(TC).alias("_tc2"), "answered_correctly"),
                       ["user_id", "row_id"])
                 .where(F.col("_tc2") < F.col(TC)))
-    # later-container minimum per container (suffix min over the user's containers)
-    later = Window.partitionBy("user_id").orderBy(F.col(TC).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    suffix = cont.select("user_id", TC, F.min("min_row").over(later).alias("_later_min"))
+    # smallest first-row id among each container's later containers (chunked suffix minimum)
+    suffix = prior_extreme(cont.withColumn("_neg", -F.col(TC)), ["user_id"], "_neg",
+                           {"_later_min": F.col("min_row")}, "min").select(
+        "user_id", (-F.col("_neg")).alias(TC), "_later_min")
     odd = (rows.join(suffix, ["user_id", TC]).where(F.col("row_id") >= F.col("_later_min"))
                .select("user_id", "row_id", F.col(TC).alias("_tc2"), "answered_correctly"))
     odd_hits = (cont.join(odd, "user_id")

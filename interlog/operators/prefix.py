@@ -54,6 +54,26 @@ def prior_totals(df: DataFrame, keys: Sequence[str], order: str, values: Mapping
     return _prefix_over_groups(per, keys, order, names, chunk_size)
 
 
+def prior_extreme(df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, Column],
+                  how: str = "min", chunk_size: float = 4096) -> DataFrame:
+    """One row per (keys, order): ``name`` = min (or max) of ``value`` over rows of the same keys with a
+    strictly smaller order; null when there are none. Same two levels as ``prior_totals``."""
+    agg = {"min": F.min, "max": F.max}[how]
+    comb = {"min": F.least, "max": F.greatest}[how]
+    names = list(values)
+    per = (df.where(F.col(order).isNotNull()).withColumn(CHUNK, _chunk(order, chunk_size))
+             .repartition(*keys, CHUNK)
+             .groupBy(*keys, CHUNK, order).agg(*[agg(c).alias(n) for n, c in values.items()]))
+    totals = per.groupBy(*keys, CHUNK).agg(*[agg(n).alias(n) for n in names])
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, CHUNK, *[agg(n).over(earlier).alias(f"_o_{n}") for n in names])
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    within = per.select(*keys, order, CHUNK, *[agg(n).over(inside).alias(f"_i_{n}") for n in names])
+    # least / greatest skip nulls, so an empty side does not hide the other
+    return within.join(offsets, [*keys, CHUNK]).select(
+        *keys, order, *[comb(F.col(f"_i_{n}"), F.col(f"_o_{n}")).alias(n) for n in names])
+
+
 def dense_rank0(df: DataFrame, keys: Sequence[str], order: str, name: str,
                 chunk_size: float) -> DataFrame:
     """One row per distinct (keys, order): ``name`` = number of distinct smaller order values."""

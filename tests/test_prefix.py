@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from interlog.operators.prefix import dense_rank0, halo_chunks, prior_totals
+from interlog.operators.prefix import dense_rank0, halo_chunks, prior_extreme, prior_totals
 
 
 def _data(spark, n=400, users=5, seed=1):
@@ -43,3 +43,27 @@ def test_halo_chunks_exact_for_bounded_frames(spark, chunk, halo):
            .where("_own").select("row_id", "s"))
     exp = df.select("row_id", F.sum("v").over(Window.partitionBy("k").orderBy("o").rangeBetween(-halo, 0)).alias("s"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+@pytest.mark.parametrize("chunk,how", [(1, "min"), (4, "max"), (4096, "min")])
+def test_prior_extreme_equals_range_window(spark, chunk, how):
+    df = _data(spark)
+    agg = {"min": F.min, "max": F.max}[how]
+    got = prior_extreme(df, ["k"], "o", {"m": F.col("w")}, how, chunk)
+    w = Window.partitionBy("k").orderBy("o").rangeBetween(Window.unboundedPreceding, -1)
+    exp = df.select("k", "o", agg("w").over(w).alias("m")).distinct()
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_prior_rows_join_handles_out_of_order_ids(spark):
+    from interlog.operators.joins import prior_rows_join
+    # user 1's container 1 holds row id 100, larger than container 2's first id (an out-of-order row)
+    rows = [(1, 1, 0, 1), (2, 1, 0, 0), (100, 1, 1, 1), (5, 1, 2, 1), (6, 1, 3, 0), (30, 2, 0, 1), (31, 2, 1, 1)]
+    df = spark.createDataFrame(rows, "row_id long, user_id long, task_container_id long, answered_correctly long")
+    got = {r.row_id: (r.roll_count, r.answered_correctly_rollsum) for r in prior_rows_join(df, 2).collect()}
+    exp = {}
+    for rid, u, c, a in rows:
+        m = min(r[0] for r in rows if r[1] == u and r[2] == c)
+        hits = [r for r in rows if r[1] == u and r[2] < c and r[0] >= m - 3]
+        exp[rid] = (len(hits), sum(r[3] for r in hits))
+    assert got == exp
