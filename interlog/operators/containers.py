@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from interlog.functions.expr import round_long
-from interlog.operators.prefix import dense_rank0
+from interlog.operators.prefix import dense_rank0, prior_totals
 
 TC = "task_container_id"
 TCQ = "task_container_id_q"
@@ -48,6 +48,16 @@ def rerank_containers(df: DataFrame, column: str = TC, excl_lectures: bool = Fal
     return out
 
 
+def rerank_both(df: DataFrame, chunk_ms: int = DAY_MS) -> DataFrame:
+    """Both re-rankings in one pass: per distinct (user, timestamp), the number of earlier distinct
+    timestamps (``task_container_id``) and of earlier question timestamps (``task_container_id_q``,
+    kept on question rows only), from one chunked prefix and one join back."""
+    per = df.groupBy("user_id", "timestamp").agg(F.max(is_q().cast("long")).alias("_hq"))
+    ranks = prior_totals(per, ["user_id"], "timestamp", {TC: F.lit(1).cast("long"), TCQ: F.col("_hq")}, chunk_ms)
+    out = df.drop(TC, TCQ).join(ranks, ["user_id", "timestamp"], "left")
+    return out.withColumn(TCQ, F.when(is_q(), F.col(TCQ)))
+
+
 def _question_containers(df: DataFrame, value: str) -> DataFrame:
     return (df.where(is_q()).groupBy("user_id", TCQ)
               .agg(F.max(value).alias("_v"), F.max("timestamp").alias("_ts")))

@@ -108,8 +108,7 @@ def build_train_base(raw: DataFrame, content: DataFrame) -> DataFrame:
     containers by time (all rows, then question rows only), look up ``ql_id``, derive the current
     container's elapsed time and the gap to the previous container, fill nulls, zero lecture answers."""
     t = containers.keep_original_container(raw, "tid_orig")
-    t = containers.rerank_containers(t, containers.TC)
-    t = containers.rerank_containers(t, containers.TCQ, excl_lectures=True)
+    t = containers.rerank_both(t)
     t = content_ops.assign_ql_id(t, content)
     t = containers.container_neighbours(t)
     t = containers.fill_missing(t, "prior_question_had_explanation", False)

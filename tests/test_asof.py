@@ -104,3 +104,11 @@ def test_tags_sum_over_row_tags(spark, base):
     # row 8 (content 10: tags 1, 2): earlier questions with tag 1 -> rows 1, 4; with tag 2 -> rows 1, 2, 4, 6
     assert out[8].r_cumcnt_tags == 6 and out[8].ac_cumsum_tags == 4
     assert out[3].r_cumcnt_tags is None                            # lectures have no tag entry
+
+
+def test_rerank_both_equals_two_reranks(spark):
+    raw = rows_frame(spark, ROWS).withColumn("task_container_id", F.lit(0).cast("long"))
+    one = containers.rerank_both(raw, chunk_ms=7 * H).select("row_id", "task_container_id", "task_container_id_q")
+    two = containers.rerank_containers(containers.rerank_containers(raw, chunk_ms=3 * H), containers.TCQ,
+                                       excl_lectures=True, chunk_ms=5 * H)
+    assert sorted(one.collect()) == sorted(two.select(*one.columns).collect())

@@ -11,7 +11,9 @@ from tools.check import digest
 CORE = ["train_transforms", "content_dimension", "asof_user_content_part", "asof_tags", "asof_session",
         "asof_upto", "top_content_cumsums", "rolling_time_stats", "rolling_container_stats", "ewma_ac_pct",
         "ewma_l_cnt", "content_tag_totals", "user_final_state", "make_folds", "prior_rows_join", "state_lookup",
-        "user_sequences", "embedding_logit", "roc_auc", "quantile_histogram", "upsert_user_state"]
+        "user_sequences", "embedding_logit", "roc_auc", "quantile_histogram", "upsert_user_state",
+        "attach_delayed_answers", "load_csv", "typed_snapshot", "fold_export", "shard_export", "table_profile",
+        "export_query", "streaming_asof_features"]
 
 
 @pytest.fixture(scope="module")
