@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -67,53 +67,79 @@ def empty_user_state(spark: SparkSession) -> DataFrame:
 
 def upsert_user_state(users: DataFrame, delta: DataFrame, hours: float = SESSION_HOURS,
                       upto: int = UPTO) -> DataFrame:
-    """Merge one micro-batch (at most one container per user, rows with answers) into the user state.
-
-    Questions: totals add; first-``upto`` counters add only while fewer than ``upto`` responses were
-    counted (in row-id order); a gap above ``hours`` since the stored time starts a new session whose
-    counters restart at this container; the stored time moves to the container's time.
-    Lectures (applied after the questions): lecture totals add; the session lecture counter restarts at
-    1 after a gap (measured against the stored time, which lectures never move), else adds."""
+    """Merge one micro-batch of answered rows into the user state, as if its containers (rows sharing
+    a timestamp) were applied one after another in time order, questions before lectures:
+
+    * totals add; first-``upto`` counters add only while fewer than ``upto`` responses were counted
+      (row order);
+    * a question container more than ``hours`` after the stored time starts a new session, and the
+      session counters restart at that container; the stored time moves to each question container;
+    * a lecture container more than ``hours`` after the stored time (lectures never move it) sets the
+      session lecture counter to 1, else adds; a user's very first row sets the stored time.
+
+    The sequential rules become window expressions over each user's containers inside the micro-batch
+    (bounded by the trigger size), then one aggregate per user and a full outer join with the state."""
     gap = int(hours * 3_600_000)
     z = F.lit(0).cast("long")
     q = delta.where(is_q())
     rank = dense_rank0(q, ["user_id"], "row_id", "_k", 1 << 20)
-    q = q.join(rank, ["user_id", "row_id"])
-    dq = q.groupBy("user_id").agg(
-        F.max("timestamp").alias("_qts"), F.sum("answered_correctly").alias("_ac"),
-        F.sum(1 - F.col("answered_correctly")).alias("_aic"), F.count("*").alias("_r"),
+    firsts = q.join(rank, ["user_id", "row_id"]).groupBy("user_id").agg(
         F.collect_list(F.struct("_k", "answered_correctly")).alias("_items"))
-    dl = delta.where(is_l()).groupBy("user_id").agg(F.max("timestamp").alias("_lts"), F.count("*").alias("_l"))
-    j = users.join(dq, "user_id", "full").join(dl, "user_id", "full")
-    has_old = F.col("timestamp").isNotNull()
-    has_q = F.col("_r").isNotNull()
-    has_l = F.col("_l").isNotNull()
-    old = {c: F.coalesce(F.col(c), z) for c in USER_STATE if c != "user_id"}
-    new_q_session = has_old & has_q & ((F.col("_qts") - F.col("timestamp")) > gap)
+    cont = delta.groupBy("user_id", "timestamp").agg(
+        F.sum(is_q().cast("long")).alias("_nq"),
+        F.sum(F.when(is_q(), F.col("answered_correctly")).otherwise(0)).alias("_acq"),
+        F.sum(is_l().cast("long")).alias("_nl"))
+    old_ts = users.select("user_id", F.col("timestamp").alias("_t_old"))
+    w = Window.partitionBy("user_id").orderBy("timestamp")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
+    q_ts = F.when(F.col("_nq") > 0, F.col("timestamp"))
+    c = (cont.join(old_ts, "user_id", "left")
+             .withColumn("_t0", F.coalesce(F.col("_t_old"), F.min("timestamp").over(Window.partitionBy("user_id"))))
+             .withColumn("_tq_prev", F.coalesce(F.last(q_ts, ignorenulls=True).over(before), F.col("_t0")))
+             .withColumn("_tq_here", F.coalesce(F.last(q_ts, ignorenulls=True).over(upto_here), F.col("_t0")))
+             .withColumn("_qflag", (F.col("_nq") > 0) & (F.col("timestamp") - F.col("_tq_prev") > gap))
+             .withColumn("_lflag", (F.col("_nl") > 0) & (F.col("timestamp") - F.col("_tq_here") > gap)))
+    last_q = F.max(F.when(F.col("_qflag"), F.col("timestamp")))
+    last_l = F.max(F.when(F.col("_lflag"), F.col("timestamp")))
+    per_user = c.groupBy("user_id").agg(
+        F.first("_t0").alias("_t0"),
+        F.sum("_acq").alias("_ac"), F.sum(F.col("_nq") - F.col("_acq")).alias("_aic"), F.sum("_nq").alias("_r"),
+        F.sum("_nl").alias("_l"), F.max(q_ts).alias("_qts"),
+        F.sum(F.col("_qflag").cast("long")).alias("_nflags"), last_q.alias("_last_q"), last_l.alias("_last_l"),
+        F.collect_list(F.struct("timestamp", "_nq", "_acq", "_nl")).alias("_conts"))
+    j = users.join(per_user, "user_id", "full").join(firsts, "user_id", "left")
+    old = {k: F.coalesce(F.col(k), z) for k in USER_STATE if k != "user_id"}
+    flagged = F.coalesce(F.col("_nflags"), z) > 0
+    since_q = F.filter("_conts", lambda e: e["timestamp"] >= F.col("_last_q"))
+    after_l = F.filter("_conts", lambda e: e["timestamp"] > F.col("_last_l"))
+
+    def total(arr, f):
+        return F.aggregate(arr, z, lambda acc, e: acc + e[f])
     room = F.greatest(F.lit(upto) - old["r_cumcnt_upto"], z)
-    first = F.filter("_items", lambda e: e["_k"] < room)
+    first = F.filter(F.coalesce(F.col("_items"), F.array().cast("array<struct<_k:bigint,answered_correctly:bigint>>")),
+                     lambda e: e["_k"] < room)
     up_ac = F.aggregate(first, z, lambda acc, e: acc + e["answered_correctly"])
     up_n = F.size(first).cast("long")
-    ts_after_q = F.when(has_q, F.col("_qts")).otherwise(F.col("timestamp"))
-    lec_gap = has_l & F.col("timestamp").isNotNull() & has_q.__invert__() & ((F.col("_lts") - F.col("timestamp")) > gap)
 
-    def add(c, d):
-        return old[c] + F.coalesce(d, z)
+    def add(col, d):
+        return old[col] + F.coalesce(F.col(d), z)
+    sess_ac = F.when(flagged, total(since_q, "_acq")).otherwise(add("ac_cumsum_session", "_ac"))
+    sess_r = F.when(flagged, total(since_q, "_nq")).otherwise(add("r_cumcnt_session", "_r"))
+    sess_aic = F.when(flagged, total(since_q, "_nq") - total(since_q, "_acq")).otherwise(
+        add("aic_cumsum_session", "_aic"))
+    sess_l = F.when(F.col("_last_l").isNotNull(), 1 + total(after_l, "_nl")).otherwise(add("l_cumcnt_session", "_l"))
     return j.select(
         "user_id",
-        add("ac_cumsum", F.col("_ac")).alias("ac_cumsum"),
-        add("aic_cumsum", F.col("_aic")).alias("aic_cumsum"),
-        add("r_cumcnt", F.col("_r")).alias("r_cumcnt"),
-        add("l_cumcnt", F.col("_l")).alias("l_cumcnt"),
-        F.when(has_q, old["ac_cumsum_upto"] + up_ac).otherwise(old["ac_cumsum_upto"]).alias("ac_cumsum_upto"),
-        F.when(has_q, old["aic_cumsum_upto"] + up_n - up_ac).otherwise(old["aic_cumsum_upto"]).alias("aic_cumsum_upto"),
-        F.when(has_q, old["r_cumcnt_upto"] + up_n).otherwise(old["r_cumcnt_upto"]).alias("r_cumcnt_upto"),
-        F.when(new_q_session, F.col("_ac")).otherwise(add("ac_cumsum_session", F.col("_ac"))).alias("ac_cumsum_session"),
-        F.when(new_q_session, F.col("_aic")).otherwise(add("aic_cumsum_session", F.col("_aic"))).alias("aic_cumsum_session"),
-        F.when(new_q_session, F.col("_r")).otherwise(add("r_cumcnt_session", F.col("_r"))).alias("r_cumcnt_session"),
-        F.when(lec_gap, F.lit(1).cast("long")).otherwise(add("l_cumcnt_session", F.col("_l"))).alias("l_cumcnt_session"),
-        F.coalesce(ts_after_q, F.col("_lts")).alias("timestamp"),
-        F.when(new_q_session, old["session"] + 1).otherwise(old["session"]).alias("session"),
+        add("ac_cumsum", "_ac").alias("ac_cumsum"), add("aic_cumsum", "_aic").alias("aic_cumsum"),
+        add("r_cumcnt", "_r").alias("r_cumcnt"), add("l_cumcnt", "_l").alias("l_cumcnt"),
+        (old["ac_cumsum_upto"] + up_ac).alias("ac_cumsum_upto"),
+        (old["aic_cumsum_upto"] + up_n - up_ac).alias("aic_cumsum_upto"),
+        (old["r_cumcnt_upto"] + up_n).alias("r_cumcnt_upto"),
+        sess_ac.alias("ac_cumsum_session"), sess_aic.alias("aic_cumsum_session"), sess_r.alias("r_cumcnt_session"),
+        sess_l.alias("l_cumcnt_session"),
+        F.coalesce(F.col("_qts"), F.col("timestamp"), F.col("_t0")).alias("timestamp"),
+        (old["session"] + F.coalesce(F.col("_nflags"), z)).alias("session"),
     )
 
 

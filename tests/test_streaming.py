@@ -131,3 +131,20 @@ def test_lecture_gap_restarts_lecture_session(spark):
                                   "row_id long, user_id long, timestamp long, content_type_id long, answered_correctly long")
     r = serving.upsert_user_state(users, batch, 72).first()
     assert r.l_cumcnt == 2 and r.l_cumcnt_session == 1 and r.timestamp == 0 and r.session == 0
+
+
+def test_upsert_whole_batch_equals_container_by_container(spark):
+    users = spark.createDataFrame([(1, 5, 3, 8, 2, 5, 3, 8, 2, 1, 3, 1, 10 * H, 2)],
+                                  ", ".join(f"{c} long" for c in serving.USER_STATE))
+    cols = "row_id long, user_id long, timestamp long, content_type_id long, answered_correctly long"
+    rows = [(1, 1, 20 * H, 0, 1), (2, 1, 20 * H, 1, -1), (3, 1, 30 * H, 0, 0), (4, 1, 30 * H, 0, 1),
+            (5, 1, 120 * H, 1, -1), (6, 1, 121 * H, 0, 1), (7, 1, 300 * H, 1, -1), (8, 1, 300 * H, 1, -1),
+            (9, 2, 5 * H, 1, -1), (10, 2, 100 * H, 0, 1), (11, 3, 7 * H, 0, 0), (12, 3, 7 * H, 0, 1)]
+    whole = serving.upsert_user_state(users, spark.createDataFrame(rows, cols), 72, 3)
+    step = users
+    for ts in sorted({r[2] for r in rows}):
+        step = serving.upsert_user_state(step, spark.createDataFrame([r for r in rows if r[2] == ts], cols), 72, 3)
+        step = spark.createDataFrame(step.collect(), step.schema)
+    assert sorted(whole.collect()) == sorted(step.select(*whole.columns).collect())
+    u1 = {r.user_id: r for r in whole.collect()}[1]
+    assert u1.session == 3 and u1.l_cumcnt_session == 1 and u1.timestamp == 121 * H
