@@ -86,6 +86,29 @@ def train_valid_split(df: DataFrame, folds_train: Sequence[int], folds_val: Sequ
                          .when(in_train, "train"))
 
 
+def fold_runs(folds: Sequence[int], n_runs: int = 5, n_val: int = 2, seed: int = 0) -> list[dict]:
+    """Repeated random fold splits: each run shuffles the fold list and validates on the first
+    ``n_val`` folds (a small parameter list built on the driver)."""
+    import random
+    rnd = random.Random(seed)
+    f = list(folds)
+    runs = []
+    for _ in range(n_runs):
+        rnd.shuffle(f)
+        runs.append({"folds_train": sorted(f[n_val:]), "folds_val": sorted(f[:n_val])})
+    return runs
+
+
+def split_runs(df: DataFrame, runs: Sequence[dict], null_fold: bool = True) -> DataFrame:
+    """Rows per (run, split) for a list of fold splits, from one aggregate per run."""
+    out = None
+    for i, r in enumerate(runs):
+        d = (train_valid_split(df, r["folds_train"], r["folds_val"], null_fold)
+             .groupBy("split").agg(F.count("*").alias("n")).withColumn("run", F.lit(i)))
+        out = d if out is None else out.unionByName(d)
+    return out.select("run", "split", "n")
+
+
 def select_features(df: DataFrame, columns: Sequence[str], folds: Sequence[int], excl_lectures: bool = False,
                     null_fold: bool = False, limit: int | None = None) -> DataFrame:
     """Fold disjunction (optionally null folds), optional lecture exclusion, canonical order, limit."""

@@ -12,6 +12,11 @@ from interlog.plans.q_stream import scratch
 from interlog.plans.registry import T, register
 from interlog.sources import fixture, io
 
+
+def _tag(sf: str) -> str:
+    import hashlib
+    return hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
+
 ICOLS = ["row_id", "timestamp", "user_id", "content_id", "content_type_id", "answered_correctly",
          "prior_question_elapsed_time", "prior_question_had_explanation"]
 ISCHEMA = ("row_id long, timestamp long, user_id long, content_id long, content_type_id long, "
@@ -39,7 +44,7 @@ def q_load_json(spark, sf):
 @register("read_table", "SELECT ql_id, question_id, part, tags FROM content")
 def q_read_table(spark, sf):
     io.ensure_database(spark, "interlog_db")
-    name = f"interlog_db.content_{abs(hash(sf)) % 10**8}"
+    name = f"interlog_db.content_{_tag(sf)}"
     io.replace_table(T(spark, sf).content().select("ql_id", "question_id", "part", "tags"), name)
     return io.read_table(spark, name, 10000, {"ql_id": "int64", "question_id": "int64", "part": "int64"})
 
@@ -111,7 +116,7 @@ def q_table_profile(spark, sf):
 @register("ensure_database", "SELECT ql_id, part FROM content")
 def q_ensure_db(spark, sf):
     io.ensure_database(spark, "interlog_db")
-    name = f"interlog_db.tmp_{abs(hash(sf)) % 10**8}"
+    name = f"interlog_db.tmp_{_tag(sf)}"
     io.drop_table(spark, name)
     return io.replace_table(T(spark, sf).content().select("ql_id", "part"), name)
 
