@@ -43,9 +43,10 @@ def q_load_json(spark, sf):
 
 @register("read_table", "SELECT ql_id, question_id, part, tags FROM content")
 def q_read_table(spark, sf):
-    io.ensure_database(spark, "interlog_db")
+    io.ensure_database(spark, "interlog_db", scratch(spark, "db"))
     name = f"interlog_db.content_{_tag(sf)}"
-    io.replace_table(T(spark, sf).content().select("ql_id", "question_id", "part", "tags"), name)
+    io.replace_table(T(spark, sf).content().select("ql_id", "question_id", "part", "tags"), name,
+                     scratch(spark, "table"))
     return io.read_table(spark, name, 10000, {"ql_id": "int64", "question_id": "int64", "part": "int64"})
 
 
@@ -115,10 +116,10 @@ def q_table_profile(spark, sf):
 
 @register("ensure_database", "SELECT ql_id, part FROM content")
 def q_ensure_db(spark, sf):
-    io.ensure_database(spark, "interlog_db")
+    io.ensure_database(spark, "interlog_db", scratch(spark, "db"))
     name = f"interlog_db.tmp_{_tag(sf)}"
     io.drop_table(spark, name)
-    return io.replace_table(T(spark, sf).content().select("ql_id", "part"), name)
+    return io.replace_table(T(spark, sf).content().select("ql_id", "part"), name, scratch(spark, "table"))
 
 
 @register("add_columns", """

@@ -20,10 +20,14 @@ ORACLE: dict[str, str] = {}
 
 
 def register(key: str, oracle_body: str | None = None):
+    """Register a query; its oracle is cast to the Spark output types recorded in ``schemas.py``."""
+    from interlog.plans.schemas import SCHEMAS
+
     def deco(fn):
         QUERIES[key] = fn
         if oracle_body is not None:
-            ORACLE[key] = O.sql(oracle_body)
+            q = O.sql(oracle_body)
+            ORACLE[key] = O.typed(q, SCHEMAS[key]) if key in SCHEMAS else q
         return fn
     return deco
 

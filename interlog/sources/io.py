@@ -104,17 +104,23 @@ def table_profile(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return out
 
 
-def ensure_database(spark: SparkSession, db: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
+    """CREATE DATABASE IF NOT EXISTS, optionally at an explicit (shared) location."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """CREATE OR REPLACE TABLE ... AS: overwrite a catalog table with the frame."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """CREATE OR REPLACE TABLE ... AS: overwrite a catalog table with the frame; with ``path`` the
+    table's files live at that (shared) location."""
+    w = df.write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

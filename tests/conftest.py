@@ -17,6 +17,10 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "4g")
+         .config("spark.sql.ui.retainedExecutions", "20")
+         .config("spark.ui.retainedJobs", "50")
+         .config("spark.ui.retainedStages", "50")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from interlog.session import checkpoint_dir

@@ -40,3 +40,17 @@ def test_every_query_has_an_oracle_or_is_listed():
     no_sql = set(queries()) - set(oracle_sql())
     assert no_sql == {"factorization_train", "feature_importance", "foreach_batch_scoring", "gbt_train_score",
                       "linear_train_score", "shuffle_rows", "write_state_snapshot"}
+
+
+def test_oracles_are_typed_like_spark():
+    from interlog.plans.schemas import SCHEMAS
+    assert set(SCHEMAS) == set(queries()), "run tools/gen_schemas.py after adding queries"
+    for key, sql in oracle_sql().items():
+        assert sql.startswith("SELECT CAST(_o."), key
+
+
+@pytest.mark.parametrize("key", ["asof_user_content_part", "user_final_state", "roc_auc", "ewma_l_cnt"])
+def test_recorded_schema_matches_spark(spark, key):
+    from interlog.plans.schemas import SCHEMAS
+    df = queries()[key](spark, SMALL)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [tuple(x) for x in SCHEMAS[key]]
