@@ -40,7 +40,8 @@ class Tables:
         return self.cache[key]
 
     def interactions(self) -> DataFrame:
-        return fixture.interactions(self.raw("events"))
+        """The raw interaction table (loaded once, like the reference's source table)."""
+        return self._table("interactions", lambda: fixture.interactions(self.raw("events")))
 
     def questions(self) -> DataFrame:
         return fixture.questions(self.raw("events"))
