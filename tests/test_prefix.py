@@ -67,3 +67,20 @@ def test_prior_rows_join_handles_out_of_order_ids(spark):
         hits = [r for r in rows if r[1] == u and r[2] < c and r[0] >= m - 3]
         exp[rid] = (len(hits), sum(r[3] for r in hits))
     assert got == exp
+
+
+def test_hot_key_is_split_into_bounded_groups(spark):
+    """One user holds most rows: every window group of the chunked prefix stays within the chunk size,
+    and the results still equal the plain window over the whole key."""
+    hot = [(i, 0, i // 3, 1, None) for i in range(3000)]          # user 0: 1000 containers, 3000 rows
+    cold = [(3000 + i, 1 + i % 5, i, 1, None) for i in range(300)]
+    df = spark.createDataFrame(hot + cold, "row_id long, k long, o long, v long, w long")
+    chunk = 64
+    from interlog.operators.prefix import CHUNK, _chunk
+    groups = (df.withColumn(CHUNK, _chunk("o", chunk)).select("k", CHUNK, "o").distinct()
+              .groupBy("k", CHUNK).count().agg(F.max("count")).first()[0])
+    assert groups <= chunk
+    got = prior_totals(df, ["k"], "o", {"sv": F.col("v")}, chunk)
+    w = Window.partitionBy("k").orderBy("o").rangeBetween(Window.unboundedPreceding, -1)
+    exp = df.select("k", "o", F.coalesce(F.sum("v").over(w), F.lit(0)).alias("sv")).distinct()
+    assert sorted(got.collect()) == sorted(exp.collect())
