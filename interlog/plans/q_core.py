@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from interlog.operators import asof, containers, content as content_ops
 from interlog.plans.registry import T, arr_text, register
@@ -207,7 +206,6 @@ _top_sel = ", ".join(
     [f"COALESCE(SUM(CAST(answered_correctly = 1 AND content_id = {c} AS BIGINT)) OVER w, 0) AS ac_cumsum_top_cid_{c}"
      for c in TOP] +
     [f"COALESCE(SUM(CAST(content_id = {c} AS BIGINT)) OVER w, 0) AS r_cumcnt_top_cid_{c}" for c in TOP])
-_top_pct = ", ".join(f"{c}" for c in [])
 
 
 @register("top_content_cumsums", f"""

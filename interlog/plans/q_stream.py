@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from interlog.functions.expr import safe_pct
 from interlog.operators import embedding, state
 from interlog.operators.containers import TC, is_q
-from interlog.plans import oracle as O
 from interlog.plans.q_more import EMB_SQL, FOLDS, _emb
 from interlog.plans.registry import T, register
 from interlog.session import checkpoint_dir

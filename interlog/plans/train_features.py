@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from interlog.operators import asof, containers, content as content_ops
 from interlog.session import cut_lineage, sized_broadcast
