@@ -163,8 +163,8 @@ def q_foreach(spark, sf):
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", parts).parquet(src)
 
     def score(q, state_users):
-        rate = state_users.select("user_id", (F.greatest(safe_pct("ac_cumsum", "r_cumcnt"), F.lit(50)) / 100.0)
-                                  .alias("rate"))
+        pct = safe_pct("ac_cumsum", "r_cumcnt")
+        rate = state_users.select("user_id", F.when(pct < 0, F.lit(0.5)).otherwise(pct / 100.0).alias("rate"))
         e = embedding.embedding_logit(q.select("row_id", "user_id", "content_id"), users, contents, logits=False)
         j = e.join(rate, "user_id", "left").fillna({"rate": 0.5})
         return serving.average_ensemble(j, ["pred_collab", "rate"]).select("row_id", "answered_correctly")
@@ -172,7 +172,7 @@ def q_foreach(spark, sf):
     out_dir = scratch(spark, "score-out")
     serving.foreach_batch_scoring(stream, scratch(spark, "score-state"), out_dir, scratch(spark, "score-ckpt"),
                                   users_state0(t), score)
-    return spark.read.parquet(out_dir).select("row_id", "answered_correctly")
+    return spark.read.parquet(out_dir).select("row_id", "epoch", "answered_correctly")
 
 
 @register("average_ensemble", EMB_SQL + """

@@ -41,5 +41,6 @@ def T(spark, sf_dir):
     return tables(spark, sf_dir)
 
 
-# Import the query modules so that they register themselves.
-from interlog.plans import q_core, q_aggs, q_more, q_stream, q_io  # noqa: E402,F401
+def load_all() -> None:
+    """Import the query modules so that they register themselves (any import order works)."""
+    from interlog.plans import q_aggs, q_core, q_io, q_more, q_stream  # noqa: F401

@@ -1,6 +1,7 @@
 """Serving: keyed streaming state equals the batch as-of features; delayed answers; state upserts
 (checks modelled on the reference's state-update assertions)."""
 
+import math
 import os
 import uuid
 
@@ -148,3 +149,31 @@ def test_upsert_whole_batch_equals_container_by_container(spark):
     assert sorted(whole.collect()) == sorted(step.select(*whole.columns).collect())
     u1 = {r.user_id: r for r in whole.collect()}[1]
     assert u1.session == 3 and u1.l_cumcnt_session == 1 and u1.timestamp == 121 * H
+
+
+def test_foreach_batch_scoring_brute_force(spark):
+    """Each prediction = mean of the embedding probability and the user's correct rate over the
+    history plus the question rows of earlier micro-batches (state as of the start of its batch)."""
+    from __spark_entry__ import queries
+    from interlog.operators import embedding
+    from interlog.plans.q_more import _emb
+    from interlog.plans.q_stream import users_state0
+    from interlog.plans.train_features import tables
+
+    preds = queries()["foreach_batch_scoring"](spark, SMALL).toPandas()
+    t = tables(spark, SMALL)
+    hist = {r.user_id: (r.ac_cumsum, r.r_cumcnt) for r in users_state0(t).collect()}
+    rows = t.ftrain().where("fold IS NOT NULL AND content_type_id = 0").select(
+        "row_id", "user_id", "content_id", "answered_correctly").toPandas()
+    users, contents = _emb(spark, SMALL)
+    emb = embedding.embedding_logit(t.ftrain().where("fold IS NOT NULL AND content_type_id = 0")
+                                    .select("row_id", "user_id", "content_id"), users, contents, logits=False)
+    prob = {r.row_id: r.pred_collab for r in emb.collect()}
+    df = rows.merge(preds.rename(columns={"answered_correctly": "pred"}), on="row_id")
+    assert len(df) == len(preds) == len(rows)
+    for _, r in df.iterrows():
+        ac, n = hist.get(r.user_id, (0, 0))
+        earlier = df[(df.user_id == r.user_id) & (df.epoch < r.epoch)]
+        ac, n = ac + earlier.answered_correctly.sum(), n + len(earlier)
+        rate = 0.5 if n == 0 else math.floor(ac * 100 / n + 0.5) / 100
+        assert abs(r.pred - (prob[r.row_id] + rate) / 2) < 1e-9, r.row_id
