@@ -166,7 +166,7 @@ SCHEMAS = {'add_columns': [('row_id', 'bigint'), ('ac_rollsum', 'bigint'), ('r_r
                  ('r_cumcnt', 'bigint'),
                  ('fold', 'bigint')],
  'fold_runs': [('run', 'int'), ('split', 'string'), ('n', 'bigint')],
- 'foreach_batch_scoring': [('row_id', 'bigint'), ('epoch', 'bigint'), ('answered_correctly', 'double')],
+ 'foreach_batch_scoring': [('row_id', 'bigint'), ('epoch', 'int'), ('answered_correctly', 'double')],
  'gbt_train_score': [('row_id', 'bigint'), ('prob', 'double')],
  'history_before_fold': [('row_id', 'bigint'),
                          ('user_id', 'bigint'),
