@@ -114,6 +114,14 @@ def q_table_profile(spark, sf):
     return io.table_profile(spark, _TP)
 
 
+@register("table_profile_size")
+def q_table_sizes(spark, sf):
+    """Storage size of the same tables (files and bytes); DuckDB views expose no file sizes."""
+    for n in _TP:
+        fixture.read(spark, sf, n).createOrReplaceTempView(n)
+    return io.table_sizes(spark, _TP)
+
+
 @register("ensure_database", "SELECT ql_id, part FROM content")
 def q_ensure_db(spark, sf):
     io.ensure_database(spark, "interlog_db", scratch(spark, "db"))

@@ -421,6 +421,7 @@ SCHEMAS = {'add_columns': [('row_id', 'bigint'), ('ac_rollsum', 'bigint'), ('r_r
                              ('pqet_cumsum', 'bigint'),
                              ('ac_cumsum_pct', 'bigint'),
                              ('pqet_cumavg', 'bigint')],
+ 'table_profile_size': [('table_name', 'string'), ('n_files', 'bigint'), ('size_bytes', 'bigint')],
  'table_profile': [('table_name', 'string'), ('n_columns', 'bigint'), ('n_rows', 'bigint')],
  'tag_response': [('user_id', 'bigint'),
                   ('row_id', 'bigint'),

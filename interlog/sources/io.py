@@ -104,6 +104,19 @@ def table_profile(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return out
 
 
+def table_sizes(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """Per table: number of files and bytes on storage. File lengths come from the ``binaryFile``
+    source over the table's input files; only metadata columns are selected, so no contents are read."""
+    out = None
+    for n in names:
+        files = spark.table(n).inputFiles()
+        d = (spark.read.format("binaryFile").load(list(files)).select("length")
+             .agg(F.count("*").alias("n_files"), F.sum("length").alias("size_bytes"))
+             .select(F.lit(n).alias("table_name"), "n_files", "size_bytes"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
     """CREATE DATABASE IF NOT EXISTS, optionally at an explicit (shared) location."""
     loc = f" LOCATION '{location}'" if location else ""
