@@ -23,7 +23,9 @@ def content_user_correlation(train: DataFrame) -> DataFrame:
         "content_id", "ac", "r", F.try_divide("ac", "r").alias("rate_uc"), F.try_divide("u_ac", "u_r").alias("rate_u"))
     return j.groupBy("content_id").agg(
         F.sum("r").alias("r_cumcnt"), (F.sum("ac") / F.sum("r")).alias("ac_cumsum_pct"),
-        F.corr("rate_uc", "rate_u").alias("corr"))
+        # Pearson correlation; null when either side has no variance (ANSI corr would raise there)
+        F.try_divide(F.covar_pop("rate_uc", "rate_u"),
+                     F.stddev_pop("rate_uc") * F.stddev_pop("rate_u")).alias("corr"))
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], chunk_size: float = 1.0) -> list[float]:

@@ -13,7 +13,7 @@ CORE = ["train_transforms", "content_dimension", "asof_user_content_part", "asof
         "ewma_l_cnt", "content_tag_totals", "user_final_state", "make_folds", "prior_rows_join", "state_lookup",
         "user_sequences", "embedding_logit", "roc_auc", "quantile_histogram", "upsert_user_state",
         "attach_delayed_answers", "load_csv", "typed_snapshot", "fold_export", "shard_export", "table_profile",
-        "export_query", "streaming_asof_features"]
+        "export_query", "streaming_asof_features", "content_user_correlation", "top_k"]
 
 
 @pytest.fixture(scope="module")
