@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from interlog.plans import registry
 from interlog.sources.fixture import TABLES
 from tests.conftest import SMALL
 from tools.check import digest
@@ -16,6 +16,16 @@ CORE = ["train_transforms", "content_dimension", "asof_user_content_part", "asof
         "export_query", "streaming_asof_features", "content_user_correlation", "top_k"]
 
 
+def queries():
+    registry.load_all()
+    return registry.QUERIES
+
+
+def oracle_sql():
+    registry.load_all()
+    return registry.ORACLE
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
