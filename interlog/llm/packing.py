@@ -15,8 +15,8 @@ an empty table gives no piece; only the id and text columns are read, so extra c
 
 from __future__ import annotations
 
-import gc
 import heapq
+import json
 import re
 import zlib
 from array import array
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
-END = array("I", [1]).tobytes()     # closes every document
-CACHE_WORDS = 300_000            # words of a cache generation; a worker keeps two
+END_ID = 1                       # closes every document
+CACHE_WORDS = 200_000            # words of a cache generation; a worker keeps two
+FIRST_ODD = "\u0130"             # below it, lower case and composition are one character each
 ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
@@ -85,18 +86,39 @@ def deal(sizes: list[int], capacity: int) -> list[list[int]]:
 class WordTokenizer:
     """Ids of whole texts, word by word through a cache of bounded size.
 
-    The vocabulary's words never cross white space, so a text's ids are those of its words in order.
+    The vocabulary's words never cross white space, so a text's ids are those of its words in order. Plain words
+    are merged by a byte-pair encoder over the same merges, in which a byte of its own stands for the end of a
+    word; every merged token of the vocabulary is what its own bytes encode to, so both make the same merges.
+    Other words go through the vocabulary's own pipeline.
     """
 
+    WORD_END = b"\xff"
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        import tiktoken
+        from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        self.plain = Tokenizer.from_file(path)           # for lower-case ASCII words, which need no cleaning
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.plain.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        # the vocabulary's spelling: visible bytes as themselves, the others from U+0100 on
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        of = {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)}.difference(seen)))}
+        byte_of = {c: b for b, c in of.items()}
+        end = model["end_of_word_suffix"]
+        as_bytes = lambda token: (bytes(byte_of[c] for c in token.removesuffix(end))
+                                  + (self.WORD_END if token.endswith(end) else b""))
+        ranks, ids = {bytes([b]): b for b in range(256)}, [model["vocab"][of[b]] for b in range(256)]
+        tokens = [of[b] + end for b in sorted(of)]
+        tokens += ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        for token in tokens:
+            if (own := as_bytes(token)) not in ranks:
+                ranks[own] = len(ids)
+                ids.append(model["vocab"][token])
+        self.lookup = np.array(ids, "<u4")
+        self.rank_of = {v: k for k, v in enumerate(ids)}
+        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.words: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}                # the generation before, still looked up
 
@@ -108,36 +130,35 @@ class WordTokenizer:
             missing = set().union(*split)
         self._learn(missing)
         get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)) + END, "<u4") for words in split]
+        out = []
+        for words in split:
+            ranks = np.frombuffer(b"".join(map(get, words)), np.uint32)
+            ids = np.full(len(ranks) + 1, END_ID, "<u4")
+            ids[:-1] = self.lookup[ranks]
+            out.append(ids)
+        return out
 
     def _learn(self, missing: set[str]) -> None:
-        words = self.words
-        if self.older:
-            again = missing & self.older.keys()
-            words.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        words, older, merge, end = self.words, self.older, self.merge, self.WORD_END
+        if older:
+            again = missing & older.keys()
+            words.update(zip(again, map(older.__getitem__, again), strict=True))
             missing = missing - again
-        cut, parts = {}, set()
         for w in missing:
-            if w.isalpha():
-                if not w.isascii():
-                    parts.add(w)
-                elif (low := w.lower()) == w:
-                    parts.add(w)
-                else:
-                    cut[w] = [low]
+            if w.isalpha() and (w.isascii() or max(w) < FIRST_ODD):
+                words[w] = array("I", merge(w.lower().encode() + end)).tobytes()
+            else:
+                words[w] = b"".join([self._part(p) for p in self._pieces(w)])
+
+    def _part(self, part: str) -> bytes:
+        known = self.words.get(part)
+        if known is None:
+            if part.isascii() or part.isalpha() and max(part) < FIRST_ODD:
+                known = array("I", self.merge(part.lower().encode() + self.WORD_END)).tobytes()
             else:
-                cut[w] = self._pieces(w)
-                if cut[w] == [w]:
-                    del cut[w]
-                    parts.add(w)
-        parts.update(*cut.values())
-        parts.difference_update(words)
-        plain = [p for p in parts if p.isascii() and p.isalpha()]
-        for tokenizer, new in ((self.plain, plain), (self.model, list(parts.difference(plain)))):
-            encoded = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            words.update(zip(new, [array("I", e.ids).tobytes() for e in encoded], strict=True))
-        for w, own in cut.items():
-            words[w] = words[own[0]] if len(own) == 1 else b"".join([words[p] for p in own])
+                ids = self.model.encode(part, add_special_tokens=False).ids
+                known = array("I", [self.rank_of[i] for i in ids]).tobytes()
+        return known
 
     @staticmethod
     def _pieces(word: str) -> list[str]:
@@ -150,7 +171,6 @@ class WordTokenizer:
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, group: int, piece: int,
           slack: int) -> Iterator[pa.RecordBatch]:
-    gc.disable()                                # the caches hold no cycles, walking them costs much
     tokenizer = WordTokenizer(path)
     next_id = TaskContext.get().partitionId() << 36
     room = group * (capacity - slack)           # tokens of one differencing group
