@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from interlog.llm.shared import lower_ascii
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: phrase -> label
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Usual licence notices, one text block each.
@@ -49,7 +49,8 @@ def words_of(text: str) -> list[str]:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
+    """The words in order: what stands between runs of other characters."""
+    return F.array_remove(F.split(lower_ascii(text), BETWEEN, -1), "")
 
 
 def literal(words: list[str]) -> Column:
@@ -57,8 +58,8 @@ def literal(words: list[str]) -> Column:
 
 
 def frequency_order(docs: DataFrame, text_col: str, vocabulary: list[str]) -> list[str]:
-    """The templates' words, rarest in the table first (their number bounds what reaches the driver)."""
-    held = F.explode(F.filter(tokens(F.col(text_col)), lambda w: w.isin(vocabulary)))
+    """The templates' words by the documents that hold them, rarest first (their number bounds what reaches the driver)."""
+    held = F.explode(F.array_intersect(literal(vocabulary), tokens(F.col(text_col))))
     counts = {r["w"]: r["n"] for r in docs.select(held.alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
@@ -98,28 +99,26 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     rank = {w: i for i, w in enumerate(order)}
     sets = [(label, sorted(own, key=rank.get)) for label, own in sets]
     firsts = sorted({w for _, own in sets for w in own[:len(own) - math.ceil(threshold * len(own) - 1e-9) + 1]})
-    seen = "|".join(map(re.escape, sorted({*firsts, *(p.split(" ")[-1] for p in phrases)})))
-    letter = WORD_ANY_CASE.rstrip("+")
-    hit = f"(?<!{letter})(?i:{seen})(?!{letter})"
     text = F.coalesce(F.col(text_col), F.lit(""))
-    slim = docs.select(F.col(id_col), text.alias("text"), F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"),
-                       text.rlike(hit).alias("hit"))
-    nothing = F.array().cast("array<struct<start:int,label:string>>")
-    no_line = F.array().cast("array<struct<line:string,label:string,part:double>>")
+    slim = docs.select(F.col(id_col), text.alias("text"), tokens(text).alias("words"))
 
     def places(words: Column) -> Column:
         each = [(phrase_starts(words, p), F.lit(label).alias("label")) for p, label in phrases.items()]
         return F.concat(*(F.transform(at, _placed(label)) for at, label in each))
 
-    def held(line: Column) -> Column:
-        block = F.array_distinct(tokens(line))
-        return F.array(*(F.struct(line.alias("line"), F.lit(label).alias("label"),
-                                  containment(block, literal(order), own, threshold).alias("part")) for label, own in sets))
-
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(hit))
-    matches = F.filter(F.flatten(F.transform(lines, held)), lambda m: m["part"].isNotNull())
-    found = slim.select(id_col, "n_words", F.when(F.col("hit"), places(tokens(F.col("text")))).otherwise(nothing).alias("base"),
-                        F.when(F.col("hit"), matches).otherwise(no_line).alias("matches"))
+    def held(block: Column) -> Column:
+        return F.array(*(F.struct(block["line"].alias("line"), F.lit(label).alias("label"),
+                                  containment(block["words"], literal(order), own, threshold).alias("part")) for label, own in sets))
+
+    blocks = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), F.array_distinct(tokens(x)).alias("words")))
+    near = F.filter(blocks, lambda b: F.arrays_overlap(b["words"], literal(firsts)))
+    matches = F.filter(F.flatten(F.transform(near, held)), lambda m: m["part"].isNotNull())
+    seen = F.struct(places(F.col("words")).alias("base"), matches.alias("matches"))
+    nothing = F.struct(F.array().cast("array<struct<start:int,label:string>>").alias("base"),
+                       F.array().cast("array<struct<line:string,label:string,part:double>>").alias("matches"))
+    hit = F.arrays_overlap("words", literal(sorted({*firsts, *(p.split(" ")[-1] for p in phrases)})))
+    found = slim.select(id_col, F.size("words").cast("long").alias("n_words"), F.when(hit, seen).otherwise(nothing).alias("seen"))
+    found = found.select(id_col, "n_words", "seen.*")
     starts, base = F.col("base.start"), F.array_distinct(F.col("base.label"))
     score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.col("matches.part")), F.lit(0.0)))
     return found.select(

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from interlog.session import cut_lineage
 
-WORDS = r"[^\x20\x09-\x0D]+"
+BETWEEN = r"[\x20\x09-\x0D]+"
 STEPS = 1024                     # time ranges per narrowing
 
 
@@ -57,12 +57,12 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], share: float, rep
 
 def queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2, seed: str = "mix",
-          rows: int = 50_000) -> DataFrame:
+          rows: int = 5_000) -> DataFrame:
     """Every document with its size, its source's size and target, and ``taken``, the words the mix takes.
 
     ``share`` is the budget as a part of all words, ``rows`` the expected documents of a hash range.
     """
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
+    size = F.greatest(F.size(F.array_remove(F.split(F.col(text_col), BETWEEN, -1), "")), F.lit(0)).cast("long")
     sized = cut_lineage(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
         F.xxhash64(F.col(text_col)).alias("text_hash"), shuffled(F.col(id_col), seed).alias("place")), "mix_sizes")
