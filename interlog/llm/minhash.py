@@ -6,8 +6,8 @@ Documents with equal sets form one class and only the class's smallest id goes o
 makes no hot list. Two sets that link and have at most ``posted`` values in their union always share such a run
 (their few differences cannot cut all runs); beyond that the chance of sharing none is under 1e-7 a pair.
 
-Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next three,
-the next twelve and so on. After each round linked documents are merged, and lists whose members are all in
+Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next seven,
+the next 56 and so on. After each round linked documents are merged, and lists whose members are all in
 one component are done, so a large group of copies costs a few pairs a member, and every pair of documents
 that a list holds in different components is met in the end. Pairs are kept by size, then by the similarity
 that the union's sketch estimates, and confirmed on the full sets.
@@ -30,7 +30,8 @@ from interlog.llm.shared import TO_LOWER, Hashes, components, mixed, slices, utf
 from interlog.session import cut_lineage
 
 HASHES = Hashes()
-RANGE = 1 << 22
+RANGE = 1 << 20                 # bytes of text worked on at once
+SMALL = 500_000                 # ids that a broadcast may hold; more are joined by a shuffle
 SEED2 = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -58,22 +59,46 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int) -> DataFrame:
-    """(doc_id, n, digest, low, rest): set size, 128 bits of the set, its k smallest values and the others."""
+    """(doc_id, n, digest, low): set size, 128 bits that stand for the set, and its k smallest values."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            for at, to in slices(offsets, RANGE):
-                with np.errstate(over="ignore"):
-                    sets = shingle_sets(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at], width)
-                    digest = [mixed(np.array([x.view(np.uint64).sum(), mixed(x.view(np.uint64) ^ SEED2).sum()]) + np.uint64(len(x))).tobytes()
-                              for x in sets]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, to - at), pa.array([len(x) for x in sets], pa.int64()), pa.array(digest, pa.binary()),
-                    _lists([x[:k] for x in sets]), _lists([x[k:] for x in sets])], names=["doc_id", "n", "digest", "low", "rest"])
+        for ids, sets in _sets(batches, width):
+            with np.errstate(over="ignore"):
+                digest = [mixed(np.array([x.view(np.uint64).sum(), mixed(x.view(np.uint64) ^ SEED2).sum()]) + np.uint64(len(x))).tobytes()
+                          for x in sets]
+            yield pa.RecordBatch.from_arrays([ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(digest, pa.binary()),
+                                              _lists([x[:k] for x in sets])], names=["doc_id", "n", "digest", "low"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(described, "doc_id long, n long, digest binary, low array<long>")
+
+
+def whole_sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n, own): the full sets of the named documents, made anew from their texts."""
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, sets in _sets(batches, width):
+            yield pa.RecordBatch.from_arrays([keys, pa.array([len(x) for x in sets], pa.int64()), _lists(sets)],
+                                             names=["doc_id", "n", "own"])
+
+    return only(texts, ids).mapInArrow(described, "doc_id long, n long, own array<long>")
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(described, "doc_id long, n long, digest binary, low array<long>, rest array<long>")
+
+def only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows with one of the ids (a written table); few ids go to every task, which spares a shuffle of all rows."""
+    return rows.join(F.broadcast(ids) if ids.count() <= SMALL else ids, "doc_id", "left_semi")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    for batch in batches:
+        data, offsets = utf8(batch.column(1))
+        for at, to in slices(offsets, RANGE):
+            with np.errstate(over="ignore"):
+                sets = shingle_sets(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at], width)
+            yield batch.column(0).slice(at, to - at), sets
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -119,7 +144,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lists = (postings(reps, posted).withColumn("members", F.count("*").over(by_key)).where("members > 1")
              .withColumn("place", F.row_number().over(by_key.orderBy(F.xxhash64("doc_id"), "doc_id"))).drop("members"))
     lists = cut_lineage(lists, "sketch_lists")
-    roots = linked(lists, every, percent, k, least_estimate)
+    roots = linked(lists, every, _texts(docs, id_col, text_col), width, percent, k, least_estimate)
     member = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "n", F.coalesce("root", "rep").alias("component"))
     return (every.select("doc_id", "n", "digest").join(member, ["digest", "n"], "left")
@@ -128,7 +153,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def linked(lists: DataFrame, every: DataFrame, percent: int, k: int, least_estimate: float) -> DataFrame:
+def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
+           least_estimate: float) -> DataFrame:
     """(node, root) of all documents with a confirmed link."""
     spark = lists.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
@@ -150,24 +176,28 @@ def linked(lists: DataFrame, every: DataFrame, percent: int, k: int, least_estim
             & (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent)).select(
             F.least("doc_id", "p_doc_id").alias("a"), F.greatest("doc_id", "p_doc_id").alias("b"))
         pairs = cut_lineage(met.distinct().join(tested, ["a", "b"], "left_anti"), "sketch_pairs")
-        links = cut_lineage(confirmed(pairs, every, percent, k, least_estimate), "links")
+        links = cut_lineage(confirmed(pairs, every, texts, width, percent, k, least_estimate), "links")
         if not links.isEmpty():
             roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), name="copies")
         tested = cut_lineage(tested.union(pairs), "tested")
         open_lists = mine.drop("root")
-        low, high = high, high * 4
+        low, high = high, high * 8
+
+
+def ids_of(pairs: DataFrame, name: str) -> DataFrame:
+    return cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), name)
 
 
-def confirmed(pairs: DataFrame, every: DataFrame, percent: int, k: int, least_estimate: float) -> DataFrame:
+def confirmed(pairs: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
+              least_estimate: float) -> DataFrame:
     """The pairs that the union's sketch lets pass and the full sets confirm."""
-    low = every.select("doc_id", "low")
+    low = only(every.select("doc_id", "low"), ids_of(pairs, "pair_ids"))
     both = (pairs.join(low.withColumnsRenamed({"doc_id": "a", "low": "low_a"}), "a")
             .join(low.withColumnsRenamed({"doc_id": "b", "low": "low_b"}), "b"))
     union = F.slice(F.array_sort(F.array_union("low_a", "low_b")), 1, k)
     shared = F.size(F.array_intersect(union, F.array_intersect("low_a", "low_b")))
-    likely = both.where(shared >= F.size(union) * least_estimate).select("a", "b")
-    likely = cut_lineage(likely.distinct(), "likely")
-    whole = every.select("doc_id", "n", F.concat("low", "rest").alias("own"))
+    likely = cut_lineage(both.where(shared >= F.size(union) * least_estimate).select("a", "b").distinct(), "likely")
+    whole = cut_lineage(whole_sets(texts, ids_of(likely, "likely_ids"), width), "whole_sets")
     sets = (likely.join(whole.withColumnsRenamed({"doc_id": "a", "n": "n_a", "own": "own_a"}), "a")
             .join(whole.withColumnsRenamed({"doc_id": "b", "n": "n_b", "own": "own_b"}), "b"))
     common = F.size(F.array_intersect("own_a", "own_b"))

@@ -33,7 +33,7 @@ KINDS[list(b".,;:?'\"()-")] = STOP
 KINDS[list(b"!#$%&*+/<=>@[\\]^_`{|}~")] = MARK
 # Frequent words of the corpus languages.
 COMMON = "the of and to in is that for it was with are this de la que el en y los las del le les et des un une est der die das und zu den von mit im".split()
-RANGE = 1 << 22                 # bytes of text worked on at once
+RANGE = 1 << 20                 # bytes of text worked on at once
 HASHES = Hashes()
 
 
