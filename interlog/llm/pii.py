@@ -65,6 +65,8 @@ PATTERNS = {
     "person": _B + rf"(?:{_TITLE}\.? {_NAME}(?: {_NAME})?|{_KNOWN} {_NAME})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: words without which no name is detected
+NAME_WORDS = sorted({w for names in [*TITLES.values(), *GIVEN.values()] for n in names for w in n.split("-")[:1]})
 DIGITS_ONLY = ("ssn", "card", "phone")
 
 
@@ -75,6 +77,13 @@ def kind_of(found: Column) -> Column:
     return kind
 
 
+def has_mention(text: Column) -> Column:
+    """Whether the pattern finds anything; texts without digits, at signs and name words are told quickly."""
+    words = F.split(text, r"[^\p{L}\p{N}]+", -1)
+    quick = text.rlike("[0-9@]") | F.arrays_overlap(words, F.array(*map(F.lit, NAME_WORDS)))
+    return F.coalesce(quick & text.rlike(PATTERN), F.lit(False))
+
+
 def script_of(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
@@ -221,7 +230,7 @@ def rendered(kind: Column, raw: Column, surrogate: Column) -> Column:
 
 def mentions(docs: DataFrame, text_col: str) -> DataFrame:
     """(digest, pos, part, type, norm, raw) of every distinct text with a mention."""
-    found = docs.where(F.col(text_col).rlike(PATTERN)).select(
+    found = docs.where(has_mention(F.col(text_col))).select(
         F.md5(text_col).alias("digest"), F.regexp_extract_all(F.col(text_col), F.lit(PATTERN), F.lit(0)).alias("found"))
     each = found.groupBy("digest").agg(F.first("found").alias("found")).select("digest", F.posexplode("found").alias("pos", "found"))
     return each.select("digest", "pos", F.posexplode(parts_of(F.col("found"), kind_of(F.col("found")))).alias("part", "p")).select(
@@ -238,7 +247,7 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     # a text's mentions are gathered beside the text they come from, which is one row as well
     lists = put.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "new", "name"))).alias("_put"))
     lists = lists.withColumnRenamed("digest", "_digest")
-    hit = F.coalesce(F.col(text_col).rlike(PATTERN), F.lit(False))
+    hit = has_mention(F.col(text_col))
     names = docs.columns
     plain = docs.where(~hit).select(*names, F.lit(0).cast("long").alias("_n"))
     gaps = F.split(F.col(text_col), PATTERN, -1)
