@@ -33,7 +33,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 END_ID = 1                       # closes every document
 CACHE_WORDS = 200_000            # words of a cache generation; a worker keeps two
 FIRST_ODD = "\u0130"             # below it, lower case and composition are one character each
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
