@@ -85,7 +85,7 @@ def queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def finish_time(copy: int) -> Column:
-    return (F.col("source_size") * copy + F.col("end")) / F.col("target")
+    return F.try_divide((F.col("source_size") * copy + F.col("end")).cast("double"), F.col("target"))
 
 
 def _not_after(time: Column, rank: Column, last: tuple | None) -> Column:
