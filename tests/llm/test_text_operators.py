@@ -1,0 +1,166 @@
+"""Packing, HTML text, quality, licence scan, PII and mixing against small cases and plain recomputations."""
+
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from interlog.llm import html_text, license_scan, mixing, packing, pii, quality
+from interlog.llm.queries import tokenizer_path
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_packing_round_trip(spark, docs, no_docs):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.encode_special_tokens = True
+    got = packing.pack(docs, tokenizer_path()).collect()
+    assert len(packing.pack(no_docs, tokenizer_path()).collect()) == 0
+    by_window, by_doc = {}, {}
+    for r in got:
+        by_window.setdefault(r.sequence_id, []).append(r)
+        by_doc.setdefault(r.doc_id, []).append(r)
+    for pieces in by_window.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 2048 and at == pieces[0].sequence_tokens
+    for d in docs.dropDuplicates(["doc_id", "text"]).collect():
+        ids = [*tok.encode(d.text or "", add_special_tokens=False).ids, 1]
+        pieces = sorted(by_doc[d.doc_id], key=lambda p: p.start)
+        assert sum(p.length for p in pieces) == len(ids) * (2 if d.doc_id == 1 else 1)
+        for p in pieces:
+            own = ids[p.start:p.start + p.length]
+            assert p.doc_tokens == len(ids) and p.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in own))
+
+
+def test_tokenizer_equals_the_library():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.encode_special_tokens = True
+    texts = ["it's I'LL x''s don't\tA b\x1cc ΣΑΣ ς İstanbul é, <|endoftext|> ①² 3.14 ÀÉ!! é.$$$ l’été ’s", "", "a\r\nb c", "e\u0301A\u030a"]
+    got = packing.WordTokenizer(tokenizer_path()).ids(texts)
+    assert [g.tolist() for g in got] == [[*tok.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_differencing_is_near_equal_and_raises_the_window_count():
+    rng = random.Random(3)
+    sizes = [rng.randint(1, 512) for _ in range(300)]
+    windows = packing.deal(sizes, 2048)
+    sums = [sum(sizes[i] for i in w) for w in windows]
+    assert sorted(i for w in windows for i in w) == list(range(300)) and max(sums) <= 2048 and max(sums) - min(sums) <= 64
+    assert len(packing.deal([1500, 1500, 1000], 2048)) == 3 and packing.deal([5], 2048) == [[0]]
+
+
+def test_html_rules(spark):
+    page = """<html><head><title>T</title><script>var a="<p>";</script></head><body><header>Site <a href=x>Home</a></header>
+    <div class="cookie-notice">We use cookies on this site to make it work well for all of you.</div><article><h1>A &amp; B</h1>
+    <p>The first paragraph of the article, and it is the one that has to be kept as it is in the text.<br>next\n line<p>Short.</article>
+    <div id="comments"><p>I think that this is a very good article and I want to say that.</div><form>Sign up</form><footer>&copy; x</footer>"""
+    rows = [(1, "u", page), (2, None, None), (3, "", ""), (4, "u", "<p>plain <b>te</b>xt"), (1, "u", page)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("key", F.lit("clash"))
+    got = sorted((r.page_id, r.text, r.n_chars) for r in html_text.extract(frame).collect())
+    text = "A & B\n\nThe first paragraph of the article, and it is the one that has to be kept as it is in the text. next line\n\nShort."
+    assert got == [(1, text, len(text))] * 2 + [(2, "", 0), (3, "", 0), (4, "plain text", 10)]
+    assert html_text.extract(frame.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("hard", ["<div>" * 5000 + "x" + "</span>" * 5000, "<a b='" * 20000, "<" * 100000, "<b>" * 5000 + "<p>x" * 5000])
+def test_html_of_hostile_pages_ends(hard):
+    html_text.main_text(hard)
+
+
+def test_html_without_article_decides_by_stop_words():
+    long = "This is the text that the page is about, and it has the words that are in all of the texts of that kind. " * 3
+    assert html_text.main_text(f"<div><a href=x>Home</a> <a href=y>News</a></div><h2>Title</h2><p>{long}</p><p>Short one.</p><p>{long}</p>"
+                               ) == f"Title\n\n{long.strip()}\n\nShort one.\n\n{long.strip()}"
+
+
+def test_quality_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = quality.train(docs, labels.where(~held))
+    got = quality.score(docs, model, columns=["doc_id"]).join(labels, "doc_id").where(held).collect()
+    assert sum((r.score >= 0.5) == r.quality for r in got) >= 0.95 * len(got)
+
+
+def test_quality_edges(spark, docs, no_docs):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (4, None), (None, 1)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    got = quality.score(docs, model, name="s").collect()
+    assert len(got) == 8 and all(0 <= r.s <= 1 for r in got) and got[0].score == "x"
+    assert quality.score(no_docs, model, name="s").count() == 0
+    assert quality.train(docs, labels.where("quality = 1")) == 1.0 and quality.train(docs, labels.where("false")) == 0.5
+
+
+def test_marginals_equal_enumeration():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    e, t = rng.normal(size=5), rng.normal(size=(2, 2))
+    up, down = quality.forward_backward(e[:, None], np.ones((5, 1), bool), t)
+    weight = {y: np.exp(sum(e[k] * y[k] for k in range(5)) + sum(t[y[k], y[k + 1]] for k in range(4))) for y in itertools.product((0, 1), repeat=5)}
+    for k in range(5):
+        want = sum(w for y, w in weight.items() if y[k]) / sum(weight.values())
+        assert abs(1 / (1 + np.exp(-(up + down)[k, 0])) - want) < 1e-9
+
+
+def test_license_places_and_labels(spark, docs, no_docs):
+    got = {(r.doc_id, r.n_words): r for r in license_scan.scan(docs).collect()}
+    assert (r := got[6, 16]).n_base == 1 and r.first_word == r.last_word == 14 and r.labels == r.base_labels == "mit" and r.score == 1.0
+    assert got[3, 0].labels == "" and got[3, 0].first_word is None and got[5, 30_000].score == 0.0
+    assert license_scan.scan(no_docs).count() == 0
+    rows = [(1, "x Apache-LICENSE mit License\nLicensed under CC BY-NC 4.0"), (2, "Licensed CC BY NC 4 0 under"), (3, "under CC 4 0")]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].labels) == (2, 1, 3, "apache,cc-by-nc,mit")
+    assert got[2].labels == "cc-by-nc" and got[2].base_labels == "" and got[3].labels == ""
+
+
+def test_pii_surrogates_keep_kind_format_and_identity(spark):
+    rows = [(1, "Mail Anna.Smith@mail7.example.com or +1 (017) 555-7713, also +1-017-555-7713."), (2, "anna.smith@mail7.example.com"),
+            (3, "10.0.0.7 and 213.174.22.103; 4111 1111 1111 1111 4283648832092189"), (4, "Mr. John Smith met Mrs. Mary Jones. Smith left; Mr. Smith came."),
+            (5, "Иван Петров"), (6, None), (7, ""), (8, "clean text 12 and 3.4"), (2, "anna.smith@mail7.example.com"),
+            (9, 'token = "34cf1be9225426587b06121cb35ab512e5a1beb5"')]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("put", F.lit("clash"))
+    got = {r.doc_id: r.text for r in pii.replace_entities(frame, "k").collect()}
+    assert pii.replace_entities(frame, "k").count() == 10 and pii.replace_entities(frame.where("false"), "k").count() == 0
+    assert got[6] is None and got[7] == "" and got[8] == "clean text 12 and 3.4"
+    m = re.fullmatch(r"Mail ([a-z]{4}\.[a-z]{5}@[a-z]{4}\d\.example\.com) or \+1 \((\d{3})\) (\d{3})-(\d{4}), also \+1-(\d{3})-(\d{3})-(\d{4})\.", got[1])
+    assert m and m.groups()[1:4] == m.groups()[4:] and got[2] == m[1] and m[1] != "anna.smith@mail7.example.com"
+    assert re.fullmatch(r"10\.\d+\.\d+\.\d+ and \d+\.\d+\.\d+\.\d+; 4\d{3} \d{4} \d{4} \d{4} 4\d{15}", got[3]) and got[3] != rows[2][1]
+    m = re.fullmatch(r"Mr\. (\S+) (\S+) met Mrs\. (\S+) (\S+)\. (\S+) left; Mr\. (\S+) came\.", got[4])
+    assert m[2] == m[5] == m[6] and m[1] in pii.GIVEN["m", "latin"] and m[3] in pii.GIVEN["f", "latin"] and m[2] != m[4]
+    assert re.fullmatch(r"[А-Я][а-я]+ [А-Я][а-я]+", got[5]) and re.fullmatch(r'token = "[0-9a-f]{40}"', got[9])
+
+
+def test_pii_surrogates_are_distinct(spark):
+    names = spark.range(400).select(F.lit("family:latin").alias("type"), F.concat(F.lit("name"), "id").alias("norm"))
+    got = pii.surrogates(names, "k").collect()
+    assert len({r.surrogate.lower() for r in got}) == len(got) == 400 and not {r.surrogate.lower() for r in got} & {r.norm for r in got}
+
+
+def test_mixing_targets_and_budget(spark, docs, no_docs):
+    got = mixing.queue(docs).collect()
+    total = sum(r["size"] for r in got)
+    targets = {r.source: r.target for r in got}
+    assert abs(sum(targets.values()) - 1.5 * total) < 1e-6 * total and sum(r.taken for r in got) <= 1.5 * total
+    assert all(0 <= r.taken <= 2 * r["size"] and r.target <= 2 * r.source_size for r in got) and targets[None] == 0
+    assert len(got) == 8 and mixing.queue(no_docs).count() == 0
+    mixed = mixing.mix(docs).collect()
+    assert len(mixed) == sum(r.taken // r["size"] for r in got if r["size"]) and mixing.mix(no_docs).count() == 0
+    assert sorted(map(str, mixing.queue(docs).collect())) == sorted(map(str, got))
+
+
+def test_mixing_near_target(spark):
+    frame = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 4).alias("source"),
+                                     F.expr("repeat('w ', cast(1 + id % 37 as int))").alias("text"))
+    for r in mixing.queue(frame, rows=100).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 40
