@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from interlog.llm import minhash, mixing, packing, pii, quality
 from interlog.llm.queries import PII_KEY, quality_model, tokenizer_path
-from interlog.llm.shared import table
+from interlog.llm.shared import small_batches, table
 from interlog.session import cut_lineage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
+    small_batches(spark)
     model = quality_model(docs, table(spark, sf_dir, "labels"))
     name = "_quality" + "_" * max((len(c) for c in docs.columns), default=0)
     return quality.score(docs, model, name=name).where(F.col(name) >= 0.5).drop(name)
@@ -24,6 +25,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 and more."""
+    small_batches(spark)
     return minhash.without_copies(docs, width=5, percent=80)
 
 
@@ -40,6 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token windows."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 

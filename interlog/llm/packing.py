@@ -190,10 +190,9 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, group: in
         held = 0
 
     for batch in batches:
-        keys = batch.column(0).to_pylist()
-        texts = batch.column(1).to_pylist()
-        for at in range(0, len(keys), 64):
-            for key, ids in zip(keys[at:at + 64], tokenizer.ids(texts[at:at + 64]), strict=True):
+        for at in range(0, batch.num_rows, 64):
+            keys, texts = (c.to_pylist() for c in batch.slice(at, 64).columns)
+            for key, ids in zip(keys, tokenizer.ids(texts), strict=True):
                 total, start = len(ids), 0
                 while total - start >= capacity:
                     own = ids[start:start + capacity]

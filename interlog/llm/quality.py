@@ -267,13 +267,15 @@ def score(docs: DataFrame, model: Model | float, text_col: str = "text", name: s
     columns = docs.columns if columns is None else columns
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     schema = StructType([StructField(c, kinds[c]) for c in columns]).add(name, DoubleType())
+    read = [docs[c] for c in columns] + ([] if text_col in columns else [docs[text_col]])
+    at_text = columns.index(text_col) if text_col in columns else len(columns)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(len(columns)))
+            data, offsets = utf8(batch.column(at_text))
             out = np.full(len(offsets) - 1, model if isinstance(model, float) else 0.0)
             for at, to in slices(offsets, RANGE) if not isinstance(model, float) else ():
                 out[at:to] = model.scores(*line_features(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.array(out)], names=[*columns, name])
 
-    return docs.select(*(docs[c] for c in columns), docs[text_col].alias("_scored_text")).mapInArrow(scored, schema)
+    return docs.select(*read).mapInArrow(scored, schema)
