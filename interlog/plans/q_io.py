@@ -47,7 +47,7 @@ def q_read_table(spark, sf):
     name = f"interlog_db.content_{_tag(sf)}"
     io.replace_table(T(spark, sf).content().select("ql_id", "question_id", "part", "tags"), name,
                      scratch(spark, "table"))
-    return io.read_table(spark, name, 10000, {"ql_id": "int64", "question_id": "int64", "part": "int64"})
+    return io.read_table(spark, name, None, {"ql_id": "int64", "question_id": "int64", "part": "int64"})
 
 
 @register("export_query", "SELECT row_id, ac_cumsum, r_cumcnt FROM feats")

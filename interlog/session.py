@@ -11,24 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "interlog") -> SparkSession:
-    """Local session with the settings the library is tuned for.
+    """Session with the settings the library is tuned for.
 
-    On a cluster, pass the master from spark-submit and size
-    ``spark.sql.shuffle.partitions`` to roughly input_bytes / 128 MB; AQE coalesces
-    the small ones and splits skewed join partitions at run time.
+    Master and shuffle partitions are only set when given, so that spark-submit decides on a cluster; there
+    ``spark.sql.shuffle.partitions`` is best about input bytes / 128 MB (AQE coalesces the small ones and
+    splits skewed join partitions at run time).
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master).config("spark.driver.memory", "16g")
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
+        builder
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
         # long sessions run many queries with large plans: keep little status history on the driver
         .config("spark.sql.ui.retainedExecutions", "50")
         .config("spark.ui.retainedJobs", "100")

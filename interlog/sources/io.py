@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
@@ -26,9 +27,9 @@ def load_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.schema(schema).json(path)
 
 
-def read_table(spark: SparkSession, name: str, max_rows: int | None = 10000,
+def read_table(spark: SparkSession, name: str, max_rows: int | None = None,
                dtypes: Mapping[str, str] | None = None) -> DataFrame:
-    """Capped table read with optional casts (unparseable values become null)."""
+    """Table read with optional casts (unparseable values become null); ``max_rows`` bounds a sample read."""
     df = spark.table(name)
     if dtypes:
         df = df.select(*[F.col(c).try_cast(DTYPES.get(dtypes[c], dtypes[c])).alias(c) if c in dtypes else F.col(c)
@@ -36,21 +37,29 @@ def read_table(spark: SparkSession, name: str, max_rows: int | None = 10000,
     return df.limit(max_rows) if max_rows else df
 
 
-def plan_fingerprint(df: DataFrame) -> str:
-    """Stable identifier of a query's analysed plan (same query -> same export folder)."""
-    return f"q{df.semanticHash() & 0xFFFFFFFF:08x}"
+def plan_fingerprint(df: DataFrame, *options: object) -> str:
+    """Stable identifier of a query's analysed plan, its input files and the way it is written."""
+    files = "\n".join(sorted(df.inputFiles()))
+    text = "\x1f".join([str(df.semanticHash()), df.schema.json(), files, *map(str, options)])
+    return "q" + hashlib.sha256(text.encode()).hexdigest()
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether an earlier write to the folder ended well."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def export_query(df: DataFrame, root: str, fmt: str = "csv", header: bool = True,
                  overwrite: bool = False) -> str:
-    """Write a query result as many files under ``root/<fingerprint>``; an existing export of the same
-    plan is reused unless ``overwrite``."""
-    path = f"{root.rstrip('/')}/{plan_fingerprint(df)}"
-    w = df.write.mode("overwrite" if overwrite else "ignore")
+    """Write a query result as many files under ``root/<fingerprint>``; a complete export of the same
+    plan, inputs, format and header is reused unless ``overwrite``."""
+    path = f"{root.rstrip('/')}/{plan_fingerprint(df, fmt, header if fmt == 'csv' else None)}"
+    if not overwrite and _complete(df.sparkSession, path):
+        return path
+    w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", header).csv(path)
-    elif fmt == "json":
-        w.json(path)
     else:
         w.format(fmt).save(path)
     return path
