@@ -29,13 +29,14 @@ def gbt_train_score(df: DataFrame, cols: Sequence[str], label: str = "answered_c
 
 
 def linear_train_score(df: DataFrame, cat: Sequence[str], num: Sequence[str], label: str = "answered_correctly",
-                       max_iter: int = 50):
-    """Logistic regression on one-hot categoricals plus numeric columns."""
+                       valid_col: str = "is_valid", max_iter: int = 50):
+    """Logistic regression on one-hot categoricals plus numeric columns, fitted on the rows that
+    ``valid_col`` does not mark and applied to all."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cat]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cat], outputCols=[f"{c}_ohe" for c in cat])
     asm = VectorAssembler(inputCols=[f"{c}_ohe" for c in cat] + list(num), outputCol="features", handleInvalid="keep")
     lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter)
-    model = Pipeline(stages=[*idx, ohe, asm, lr]).fit(df.withColumn(label, F.col(label).cast("double")))
+    model = Pipeline(stages=[*idx, ohe, asm, lr]).fit(df.where(~F.col(valid_col)).withColumn(label, F.col(label).cast("double")))
     return model, _prob(model.transform(df))
 
 

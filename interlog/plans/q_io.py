@@ -102,7 +102,7 @@ def q_shard_export(spark, sf):
     return files.groupBy("split").agg(F.sum("rows").alias("n_rows"), (F.max("rows") <= 1000).alias("within_limit"))
 
 
-_TP = ["events", "embeddings", "nation", "region"]
+_TP = list(fixture.TABLES)
 
 
 @register("table_profile", " UNION ALL ".join(
@@ -166,9 +166,8 @@ def q_gbt(spark, sf):
 @register("linear_train_score")
 def q_linear(spark, sf):
     df = _model_frame(spark, sf).withColumn("part_s", F.col("part").cast("string"))
-    _, scored = ml.linear_train_score(df.where(~F.col("is_valid")), ["part_s"],
-                                      [c for c in NUM if c != "part"], max_iter=20)
-    return scored.select("row_id", F.round("prob", 6).alias("prob"))
+    _, scored = ml.linear_train_score(df, ["part_s"], [c for c in NUM if c != "part"], max_iter=20)
+    return scored.where("is_valid").select("row_id", F.round("prob", 6).alias("prob"))
 
 
 @register("factorization_train")
@@ -176,8 +175,9 @@ def q_als(spark, sf):
     from interlog.operators.sequence import latest_per_user_content
     df = latest_per_user_content(T(spark, sf).train_base().where(is_q()))
     users, items = ml.factorization_train(df, rank=8, max_iter=5)
-    return users.select("id", F.size("vector").alias("rank")).unionByName(
-        items.select("id", F.size("vector").alias("rank")))
+    text = F.array_join(F.transform("vector", lambda x: F.round(x, 4).cast("string")), " ").alias("vector")
+    return users.select(F.lit("user").alias("side"), "id", text).unionByName(
+        items.select(F.lit("content").alias("side"), "id", text))
 
 
 @register("feature_importance")

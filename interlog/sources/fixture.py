@@ -17,9 +17,8 @@ LECTURE_EVENT = "signup"        # event type that plays a lecture
 CORRECT_ABOVE = 20              # answered correctly when value > 20
 NULL_TAGS_K = 50                # question whose tags are missing
 LECTURE_TYPE_OF = "concept"
-USER_VECTOR_MAX = 100           # user vectors kept for vec_id < 100
+HELD_OUT = 3                    # ids with this remainder modulo 10 have no vector of their own
 CONTENT_VECTOR_BASE = 499       # content vector of k is vec_id 499 - k
-CONTENT_VECTOR_MAX = 80         # content vectors kept for k < 80
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -92,12 +91,12 @@ def _vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def user_vectors(embeddings: DataFrame) -> DataFrame:
-    """id -> (vector, bias); only ids below USER_VECTOR_MAX are 'trained'."""
-    v = _vectors(embeddings).where(F.col("vec_id") < USER_VECTOR_MAX)
+    """id -> (vector, bias) of every vector but the held-out ids, which take the unseen path."""
+    v = _vectors(embeddings).where(F.col("vec_id") % 10 != HELD_OUT)
     return v.select(F.col("vec_id").alias("id"), "vector", "bias")
 
 
 def content_vectors(embeddings: DataFrame) -> DataFrame:
-    v = _vectors(embeddings).where(
-        (F.col("vec_id") <= CONTENT_VECTOR_BASE) & (F.col("vec_id") > CONTENT_VECTOR_BASE - CONTENT_VECTOR_MAX))
+    k = F.lit(CONTENT_VECTOR_BASE) - F.col("vec_id")
+    v = _vectors(embeddings).where((k >= 0) & (k % 10 != HELD_OUT))
     return v.select((F.lit(CONTENT_VECTOR_BASE) - F.col("vec_id")).alias("id"), "vector", "bias")
