@@ -78,9 +78,9 @@ def kind_of(found: Column) -> Column:
 
 
 def has_mention(text: Column) -> Column:
-    """Whether the pattern finds anything; texts without digits, at signs and name words are told quickly."""
+    """Whether the pattern finds anything; texts without digits, at signs, token marks and name words are told quickly."""
     words = F.split(text, r"[^\p{L}\p{N}]+", -1)
-    quick = text.rlike("[0-9@]") | F.arrays_overlap(words, F.array(*map(F.lit, NAME_WORDS)))
+    quick = text.rlike("[0-9@]|AKIA|ASIA|gh[pousr]_|:[a-fA-F]{1,4}:") | F.arrays_overlap(words, F.array(*map(F.lit, NAME_WORDS)))
     return F.coalesce(quick & text.rlike(PATTERN), F.lit(False))
 
 
