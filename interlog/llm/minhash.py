@@ -6,11 +6,12 @@ Documents with equal sets form one class and only the class's smallest id goes o
 makes no hot list. Two sets that link and have at most ``posted`` values in their union always share such a run
 (their few differences cannot cut all runs); beyond that the chance of sharing none is under 1e-7 a pair.
 
-Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next seven,
-the next 56 and so on. After each round linked documents are merged, and lists whose members are all in
-one component are done, so a large group of copies costs a few pairs a member, and every pair of documents
-that a list holds in different components is met in the end. Pairs are kept by size, then by the similarity
-that the union's sketch estimates, and confirmed on the full sets.
+Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next seven.
+After each round linked documents are merged, and lists whose members are all in one component are done, so
+a large group of copies costs a few pairs a member. The lists that still hold several components then meet
+whole inside tasks: a long list is dealt out in tiles, a task compares two tiles, and only a forest of the
+links it found leaves it, never pairs. Pairs are kept by size, then by the similarity that the union's sketch
+estimates, and confirmed on the full sets.
 
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a shingle make
 one shingle of them all; rows with equal ids are one document; a null id is never linked; an empty table gives
@@ -26,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from interlog.llm.shared import TO_LOWER, Hashes, components, mixed, slices, utf8, words
+from interlog.llm.shared import TO_LOWER, Forest, Hashes, components, mixed, slices, utf8, words
 from interlog.session import cut_lineage
 
 HASHES = Hashes()
 RANGE = 1 << 20                 # bytes of text worked on at once
+TILE = 1 << 17                  # set values of one tile of a list, a set counting as 128 at least
+CELLS = 1 << 22                 # cells of a table of sets by values that is filled at once
 SMALL = 500_000                 # ids that a broadcast may hold; more are joined by a shuffle
 SEED2 = np.uint64(0x5851F42D4C957F2D)
 
@@ -130,7 +133,7 @@ def postings(reps: DataFrame, posted: int) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
-                k: int = 64, posted: int = 48, least_estimate: float = 0.5) -> DataFrame:
+                k: int = 64, posted: int = 48, least_estimate: float = 0.5, tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
     ``percent`` of the union that two linked sets share at least; ``component_id`` is the smallest id that
@@ -144,7 +147,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lists = (postings(reps, posted).withColumn("members", F.count("*").over(by_key)).where("members > 1")
              .withColumn("place", F.row_number().over(by_key.orderBy(F.xxhash64("doc_id"), "doc_id"))).drop("members"))
     lists = cut_lineage(lists, "sketch_lists")
-    roots = linked(lists, every, _texts(docs, id_col, text_col), width, percent, k, least_estimate)
+    roots = linked(lists, every, _texts(docs, id_col, text_col), width, percent, k, least_estimate, tile)
     member = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "n", F.coalesce("root", "rep").alias("component"))
     return (every.select("doc_id", "n", "digest").join(member, ["digest", "n"], "left")
@@ -154,21 +157,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
-           least_estimate: float) -> DataFrame:
+           least_estimate: float, tile: int = TILE) -> DataFrame:
     """(node, root) of all documents with a confirmed link."""
     spark = lists.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
     tested = spark.createDataFrame([], "a long, b long")
-    low, high = 0, 1
-    open_lists = lists
-    while True:
-        mine = open_lists.join(roots, F.col("doc_id") == F.col("node"), "left").select(
-            "key", "doc_id", "n", "place", F.coalesce("root", "doc_id").alias("root"))
-        split = (mine.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("place").alias("last"))
-                 .where((F.col("x") < F.col("y")) & (F.col("last") > low + 1)).select("key"))
-        mine = cut_lineage(mine.join(split, "key", "left_semi"), "open_lists")
-        if mine.isEmpty():
-            return roots
+    for low, high in ((0, 1), (1, 8)):
+        mine = still_open(lists, roots, low + 1)
         pivot = mine.where((F.col("place") > low) & (F.col("place") <= high)).select(
             "key", *(F.col(c).alias(f"p_{c}") for c in ("doc_id", "n", "place", "root")))
         met = mine.join(pivot, "key").where(
@@ -177,11 +172,94 @@ def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, per
             F.least("doc_id", "p_doc_id").alias("a"), F.greatest("doc_id", "p_doc_id").alias("b"))
         pairs = cut_lineage(met.distinct().join(tested, ["a", "b"], "left_anti"), "sketch_pairs")
         links = cut_lineage(confirmed(pairs, every, texts, width, percent, k, least_estimate), "links")
-        if not links.isEmpty():
-            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), name="copies")
-        tested = cut_lineage(tested.union(pairs), "tested")
-        open_lists = mine.drop("root")
-        low, high = high, high * 8
+        roots = merged(roots, links)
+        tested, lists = pairs, mine.drop("root")
+    return merged(roots, met_in_tasks(still_open(lists, roots, high), texts, width, percent, k, least_estimate, tile))
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    if links.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), name="copies")
+
+
+def still_open(lists: DataFrame, roots: DataFrame, met: int) -> DataFrame:
+    """Lists, each member with its component, that hold several components and members beyond those that all have met."""
+    mine = lists.join(roots, F.col("doc_id") == F.col("node"), "left").select(
+        "key", "doc_id", "n", "place", F.coalesce("root", "doc_id").alias("root"))
+    split = (mine.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("place").alias("last"))
+             .where((F.col("x") < F.col("y")) & (F.col("last") > met)).select("key"))
+    return cut_lineage(mine.join(split, "key", "left_semi"), "open_lists")
+
+
+def met_in_tasks(mine: DataFrame, texts: DataFrame, width: int, percent: int, k: int, least_estimate: float,
+                 tile: int = TILE) -> DataFrame:
+    """(a, b): forests of the confirmed links between members of a list; a task holds two tiles of one list."""
+    whole = whole_sets(texts, cut_lineage(mine.select("doc_id").distinct(), "open_ids"), width).select("doc_id", "own")
+    whole = cut_lineage(whole, "open_sets")
+    tiles = mine.groupBy("key").agg(F.ceil(F.sum(F.greatest("n", F.lit(128))) / tile).cast("int").alias("tiles"))
+    dealt = (mine.join(tiles, "key").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+             .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+             .select("key", F.least("t", "s").alias("i"), F.greatest("t", "s").alias("j"),
+                     (F.col("t") <= F.col("s")).alias("as_left"), "doc_id", "root"))
+    found = dealt.join(whole, "doc_id").groupBy("key", "i", "j").applyInArrow(
+        lambda cell: links_in(cell, percent, k, least_estimate), "a long, b long")
+    return cut_lineage(found.distinct(), "links")
+
+
+def links_in(cell: pa.Table, percent: int, k: int, least_estimate: float) -> pa.Table:
+    """A forest of the links between the left and the right rows (or among the left, where there are no others)."""
+    ids, roots, as_left = (np.asarray(cell.column(c)) for c in ("doc_id", "root", "as_left"))
+    own = cell.column("own").combine_chunks()
+    sizes = np.asarray(own.value_lengths()).astype(np.int64)
+    values = np.asarray(own.flatten())
+    one = as_left.all()
+    u = np.flatnonzero(as_left)
+    v = u if one else np.flatnonzero(~as_left)
+    small, large = np.minimum.outer(sizes[u], sizes[v]), np.maximum.outer(sizes[u], sizes[v])
+    near = (small * 100 >= large * percent) & (roots[u][:, None] != roots[v])
+    if one:
+        near = np.triu(near, 1)
+    low = np.minimum(sizes, k)
+    for most in (k, None):                  # the sketches (an upper bound of the estimate), then the full sets
+        left, right = near.any(1), near.any(0)
+        u, v, near = u[left], v[right], near[np.ix_(left, right)]
+        if not near.any():
+            break
+        common = shared_values(values, sizes, u, v, most)
+        if most:
+            union = np.minimum(k, low[u][:, None] + low[v] - common)
+            near &= common >= union * least_estimate
+        else:
+            near &= common * 100 >= (sizes[u][:, None] + sizes[v] - common) * percent
+    forest = Forest(len(ids))
+    x, y = np.nonzero(near)
+    if len(x):
+        forest.join(u[x], v[y])
+    node, parent = forest.edges()
+    return pa.table({"a": ids[node], "b": ids[parent]})
+
+
+def shared_values(values: np.ndarray, sizes: np.ndarray, u: np.ndarray, v: np.ndarray, most: int | None) -> np.ndarray:
+    """How many values the sets of rows ``u`` (down) and ``v`` (across) share, of their ``most`` smallest each."""
+    starts = np.cumsum(sizes) - sizes
+    rows = np.concatenate([u, v])
+    n = np.minimum(sizes[rows], most) if most else sizes[rows]
+    row = np.repeat(np.arange(len(rows)), n)
+    place = np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(len(row))
+    _, code, count = np.unique(values[place], return_inverse=True, return_counts=True)
+    often = count > 1
+    row, code = row[often[code]], (np.cumsum(often) - 1)[code[often[code]]]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    out = np.zeros((len(u), len(v)), np.float32)
+    step = max(1, CELLS // len(rows))
+    for at in range(0, int(often.sum()), step):
+        a, b = np.searchsorted(code, [at, at + step])
+        table = np.zeros((len(rows), step), np.float32)
+        table[row[a:b], code[a:b] - at] = 1
+        out += table[:len(u)] @ table[len(u):].T
+    return out.astype(np.int64)
 
 
 def ids_of(pairs: DataFrame, name: str) -> DataFrame:

@@ -73,6 +73,37 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "compon
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+class Forest:
+    """Components of the rows of one task."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def join(self, u: np.ndarray, v: np.ndarray) -> None:
+        self._flatten()
+        pairs = np.unique(np.column_stack([self.parent[u], self.parent[v]]), axis=0)
+        parent = self.parent
+        for a, b in pairs[pairs[:, 0] != pairs[:, 1]].tolist():
+            while parent[a] != a:
+                a = parent[a]
+            while parent[b] != b:
+                b = parent[b]
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+
+    def _flatten(self) -> None:
+        while True:
+            up = self.parent[self.parent]
+            if np.array_equal(up, self.parent):
+                return
+            self.parent = up
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        self._flatten()
+        nodes = np.flatnonzero(self.parent != np.arange(len(self.parent)))
+        return nodes, self.parent[nodes]
+
+
 class Hashes:
     """64-bit hashes of byte ranges: a table value per byte times powers of an odd base, summed by prefix sums."""
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from interlog.llm.shared import components
+from interlog.llm.shared import Forest, components
 from interlog.session import cut_lineage
 
 
@@ -81,37 +81,6 @@ def cells_of(frame: pd.DataFrame, blocks: int, budget: float, width: float) -> p
     return pd.concat(out)[columns] if out else pd.DataFrame(columns=columns)
 
 
-class Forest:
-    """Components of the rows of one task."""
-
-    def __init__(self, n: int):
-        self.parent = np.arange(n)
-
-    def join(self, u: np.ndarray, v: np.ndarray) -> None:
-        self._flatten()
-        pairs = np.unique(np.column_stack([self.parent[u], self.parent[v]]), axis=0)
-        parent = self.parent
-        for a, b in pairs[pairs[:, 0] != pairs[:, 1]].tolist():
-            while parent[a] != a:
-                a = parent[a]
-            while parent[b] != b:
-                b = parent[b]
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-
-    def _flatten(self) -> None:
-        while True:
-            up = self.parent[self.parent]
-            if np.array_equal(up, self.parent):
-                return
-            self.parent = up
-
-    def edges(self) -> tuple[np.ndarray, np.ndarray]:
-        self._flatten()
-        nodes = np.flatnonzero(self.parent != np.arange(len(self.parent)))
-        return nodes, self.parent[nodes]
-
-
 def links_in(cell: pd.DataFrame, blocks: int, threshold: float, rows: int = 512) -> pd.DataFrame:
     """Links between a tile's visitors and residents: counts (b null) and forest edges (links 0)."""
     b = int(cell["block"].iloc[0])

@@ -55,6 +55,25 @@ def test_minhash_classes_equal_brute_force(spark):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), want[i], want[i] == i) for i in sets}
 
 
+def test_minhash_family_at_the_threshold(spark):
+    """A large family whose members link or just fail to: their lists stay open and meet in tiles."""
+    rng = random.Random(8)
+    base, rows = [f"w{k}" for k in range(120)], []
+    for i in range(150):
+        own = list(base)
+        for at in rng.sample(range(120), rng.randrange(2, 9)):
+            own[at] = f"x{rng.randrange(300)}"
+        rows.append((i, " ".join(own)))
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(117)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = classes(sets, links)
+    assert 5 < len(links) and 20 < len(set(want.values())) < 145
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile in (minhash.TILE, 2000):
+        got = {r.doc_id: r.component_id for r in minhash.near_copies(frame, width=4, tile=tile).collect()}
+        assert got == want
+
+
 def test_minhash_edges(spark, docs, no_docs):
     got = minhash.near_copies(docs).collect()
     assert len(got) == 8 and minhash.near_copies(no_docs).count() == 0
