@@ -6,7 +6,7 @@ Documents with equal sets form one class and only the class's smallest id goes o
 makes no hot list. Two sets that link and have at most ``posted`` values in their union always share such a run
 (their few differences cannot cut all runs); beyond that the chance of sharing none is under 1e-7 a pair.
 
-Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next seven.
+Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next three.
 After each round linked documents are merged, and lists whose members are all in one component are done, so
 a large group of copies costs a few pairs a member. The lists that still hold several components then meet
 whole inside tasks: a long list is dealt out in tiles, a task compares two tiles, and only a forest of the
@@ -162,7 +162,7 @@ def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, per
     spark = lists.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
     tested = spark.createDataFrame([], "a long, b long")
-    for low, high in ((0, 1), (1, 8)):
+    for low, high in ((0, 1), (1, 4)):
         mine = still_open(lists, roots, low + 1)
         pivot = mine.where((F.col("place") > low) & (F.col("place") <= high)).select(
             "key", *(F.col(c).alias(f"p_{c}") for c in ("doc_id", "n", "place", "root")))
