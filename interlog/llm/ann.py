@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by a permutation index.
 
-A bounded sample of distinct vectors serves as pivots. Every vector is represented by its nearest pivots in
-order, and is posted with its rank in the inverted file of each of them. The index is dealt out in blocks of
-vectors; a task meets one chunk of queries with one block, adds up the footrule distance along the postings of a
-query's pivots, and reranks the block's nearest by the cosine of the original vectors.
+Vectors of a bounded sample that lie farthest from each other serve as pivots, so that a large group of near
+copies does not fill them. Every vector is represented by its nearest pivots in order, and is posted with its rank
+in the inverted file of each of them. The index is dealt out in blocks of vectors; a task meets one chunk of
+queries with one block, adds up the footrule distance along the postings of a query's pivots, and reranks the
+block's nearest by the cosine of the original vectors.
 
 Identical vectors are indexed once and answer with their smallest ids.
 
@@ -22,11 +23,26 @@ from pyspark.sql import functions as F
 from interlog.llm.vector_dedup import usable
 from interlog.session import cut_lineage
 
+SAMPLE_BYTES = 1 << 26
+
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def spread(x: np.ndarray, pivots: int) -> np.ndarray:
+    """Rows of ``x``, each the one whose largest cosine to the rows before it is smallest."""
+    u = unit(x)
+    chosen, near = [0], u @ u[0]
+    near[0] = np.inf
+    while len(chosen) < min(pivots, len(x)):
+        own = int(np.argmin(near))
+        chosen.append(own)
+        near = np.maximum(near, u @ u[own])
+        near[own] = np.inf
+    return x[chosen]
+
+
 def ranks(x: np.ndarray, pivots: np.ndarray, kept: int) -> np.ndarray:
     """(rows, pivots): a pivot's place in the order of nearness, ``kept`` beyond the nearest ``kept``."""
     order = np.argsort(-(unit(x) @ unit(pivots).T), axis=1, kind="stable")[:, :kept]
@@ -65,11 +81,11 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def search(vectors: DataFrame, queries: F.Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-           pivots: int = 256, part: float = 0.04, least: int = 512, block: int = 8192, chunk: int = 1024) -> DataFrame:
+           pivots: int = 256, sample: int = 16384, part: float = 0.04, least: int = 512, block: int = 8192, chunk: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest of each row that the condition ``queries`` picks.
 
-    ``pivots`` vectors are sampled by hash order; half of them describe a vector. Of each block the nearest
-    ``part``, ``least`` at least, are reranked.
+    ``pivots`` vectors are picked from ``sample`` distinct ones in hash order (fewer of them where they are more
+    than 64 MB); half of them describe a vector. Of each block the nearest ``part``, ``least`` at least, are reranked.
     """
     slim = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v"))
     points = usable(slim.where("vec_id is not null"), "vec_id", "v").withColumn("dim", F.length("x"))
@@ -86,8 +102,9 @@ def search(vectors: DataFrame, queries: F.Column, id_col: str = "vec_id", vec_co
     classes = cut_lineage(classes, "vector_classes")
     asked = points.where(queries).groupBy("vec_id").agg(F.first("x").alias("x"))
     n, m = classes.count(), asked.count()
-    sample = classes.orderBy(F.xxhash64("digest"), "digest").limit(pivots).select("x").toPandas()   # bounded by ``pivots``
-    base = _matrix(sample["x"])
+    sample = max(pivots, min(sample, SAMPLE_BYTES // common["dim"]))
+    drawn = classes.orderBy(F.xxhash64("digest"), "digest").limit(sample).select("x").toPandas()   # bounded by ``sample``
+    base = spread(_matrix(drawn["x"]), pivots)
     kept = max(1, len(base) // 2)
     blocks, chunks = -(-n // block), max(1, -(-m // chunk))
     one = classes.select(F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),

@@ -136,6 +136,21 @@ def test_ann_recall(spark):
     assert sum(hits) >= 0.9 * 5 * len(hits)
 
 
+def test_ann_recall_beside_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((9000, 64))
+    x[::3] = rng.standard_normal(64) + 0.1 * rng.standard_normal((3000, 64))
+    frame = spark.createDataFrame([(i, own.tolist()) for i, own in enumerate(x)], "vec_id long, embedding array<double>")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = {}
+    for r in ann.search(frame, F.col("vec_id") % 50 == 0, least=280, part=0.0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = {True: [], False: []}
+    for q in range(0, 9000, 50):
+        hits[q % 3 == 0].append(len(got[q] & set(np.argsort(-np.where(np.arange(9000) == q, -2, x @ x[q]))[:5])))
+    assert all(sum(own) >= 0.9 * 5 * len(own) for own in hits.values())
+
+
 def plain_rule(url):
     host, path = "", ""
     if url and "://" in url:
