@@ -25,10 +25,11 @@ MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(script|style|noscript|template|iframe|svg|math|object|canvas|audio|video|textarea|select|title|noframes)\b[^<>]*"
     r"(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}')*)>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+(?=>)|[^<>]*+)>"
     r"|<[!?/a-zA-Z][^<>]*>", re.S | re.I)
+# A quote that follows no "=" or has no end does not hide a ">": such a tag ends at the first one.
 NEAR = 32                        # open inline elements that an implied end tag looks through
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"\"[^\"]*+\"|'[^']*+'|([^\s\"'=/]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
 SPACE = re.compile(r"\s+")
 LETTERS = re.compile(r"[^\W\d_]+")
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption

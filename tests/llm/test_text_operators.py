@@ -76,6 +76,20 @@ def test_html_of_hostile_pages_ends(hard):
     html_text.main_text(hard)
 
 
+@pytest.mark.parametrize("value", ["x" * 3000, '{"class": "hidden ad"} > ' * 40_000])
+def test_html_attributes_of_any_length(value):
+    for tag, kept in (("div", True), ("article", True), ("nav", False), ("div class=ad", False)):
+        page = f"<div id=page><article><p>one</p><{tag} data-cfg='{value}'>Buy</{tag.split()[0]}><p>rest</p></article><p>out</p></div>"
+        assert html_text.main_text(page) == ("one\n\nBuy\n\nrest" if kept else "one\n\nrest")
+    assert html_text.main_text(f"<p>before</p><article data-cfg='{value}'>text</article><p>after</p>") == "text"
+
+
+def test_html_stray_quotes_hide_no_text():
+    text = "word " * 800 + "end"
+    assert html_text.main_text(f'<article><img alt="5" screen"><p>{text}</p><img alt="6" x"></article>') == text
+    assert html_text.main_text(f'<article><div title="a>{text}</div></article><p>out</p>') == text
+
+
 def test_html_without_article_decides_by_stop_words():
     long = "This is the text that the page is about, and it has the words that are in all of the texts of that kind. " * 3
     assert html_text.main_text(f"<div><a href=x>Home</a> <a href=y>News</a></div><h2>Title</h2><p>{long}</p><p>Short one.</p><p>{long}</p>"
