@@ -1,10 +1,13 @@
 """License scans: exact phrase places, and an exact set-similarity join of text blocks with templates.
 
-DataFrame operations only. The templates' words are put in order of their frequency over the whole table,
-rarest first. A block (line) that holds at least the threshold of a template's words must hold one of the
-template's first ``size - need + 1`` words (prefix filter), needs enough words at all (length filter) and
-enough of the ordered words from its first match on (positional filter); what passes is counted exactly.
-The template side is a fixed list, so it stands in the plan and the documents need no shuffle.
+DataFrame operations only. A template's blocks are the windows of ``1 / threshold`` times its length in words, at
+every place of the text and across its line breaks. The templates' words are put in order of their frequency over
+the whole table, rarest first. A window that holds at least the threshold of a template's words must hold one of
+the template's first ``size - need + 1`` words (prefix filter), so only the windows around such a word are looked
+at, and only where the words within reach of it are enough (length filter) and enough of the ordered words from
+their first match on (positional filter); what passes is counted exactly, window by window. Of a template of fewer
+than ten words the words of its label's name must be there. The template side is a fixed list, so it stands in the
+plan and the documents need no shuffle.
 
 Defined results: a null or empty text has no words, labels '' and score 0; repeated rows are scanned alike;
 very long texts are read whole; an empty table gives no rows. Only the id and text columns are read.
@@ -43,9 +46,20 @@ TEMPLATES = {
 }
 
 
+SHORT = 10                       # words; a template of fewer needs those of its label's name
+
+
+def all_words(text: str) -> list[str]:
+    return re.findall(WORD, re.sub("[A-Z]+", lambda m: m[0].lower(), text))
+
+
 def words_of(text: str) -> list[str]:
-    lower = re.sub("[A-Z]+", lambda m: m[0].lower(), text)
-    return list(dict.fromkeys(re.findall(WORD, lower)))
+    return list(dict.fromkeys(all_words(text)))
+
+
+def label_words(label: str, template: list[str]) -> list[str]:
+    """The words that a block must hold: of a short template those of the label's name."""
+    return [w for w in words_of(label) if w in template] if len(template) < SHORT else []
 
 
 def tokens(text: Column) -> Column:
@@ -90,33 +104,54 @@ def _placed(label: Column):
     return lambda i: F.struct(i.cast("int").alias("start"), label)
 
 
+def window_matches(words: Column, anchors: Column, order: Column, label: str, template: list[str], length: int,
+                   threshold: float) -> Column:
+    """(start, block, label, part) of the first best window around each anchor that is in the template's prefix."""
+    prefix = template[:len(template) - math.ceil(threshold * len(template) - 1e-9) + 1]
+    needed = label_words(label, template)
+
+    def part(first: Column, size: Column) -> Column:
+        block = F.array_distinct(F.slice(words, first + 1, size))
+        held = containment(block, order, template, threshold)
+        return F.when(F.size(F.array_intersect(literal(needed), block)) == len(needed), held) if needed else held
+
+    def best(i: Column) -> Column:
+        first = F.greatest(i - (length - 1), F.lit(0))
+        places = F.filter(F.sequence(first, i), lambda s: F.get(words, s).isin(template))
+        parts = F.transform(places, lambda s: F.struct(part(s, F.lit(length)).alias("part"), (-s).alias("back")))
+        return F.when(part(first, i - first + length).isNotNull(), F.array_max(F.filter(parts, lambda p: p["part"].isNotNull())))
+
+    found = F.transform(F.filter(anchors, lambda i: F.get(words, i).isin(prefix)), best)
+    return F.transform(F.array_distinct(F.filter(found, lambda m: m.isNotNull())), lambda m: F.struct(
+        (-m["back"]).cast("int").alias("start"), F.array_join(F.slice(words, 1 - m["back"], length), " ").alias("block"),
+        F.lit(label).alias("label"), m["part"].alias("part")))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: Mapping[str, str] | None = None,
          templates: Mapping[str, list[str]] | None = None, threshold: float = 0.8) -> DataFrame:
-    """One row per document: word and phrase counts, places, labels, score and the lines that matched."""
+    """One row per document: word and phrase counts, places, labels, score and the windows that matched."""
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
     sets = [(label, words_of(t)) for label, texts in templates.items() for t in texts]
+    lengths = [math.ceil(len(all_words(t)) / threshold) for texts in templates.values() for t in texts]
     order = frequency_order(docs, text_col, sorted({w for _, own in sets for w in own}))
     rank = {w: i for i, w in enumerate(order)}
     sets = [(label, sorted(own, key=rank.get)) for label, own in sets]
     firsts = sorted({w for _, own in sets for w in own[:len(own) - math.ceil(threshold * len(own) - 1e-9) + 1]})
     text = F.coalesce(F.col(text_col), F.lit(""))
-    slim = docs.select(F.col(id_col), text.alias("text"), tokens(text).alias("words"))
+    slim = docs.select(F.col(id_col), tokens(text).alias("words"))
 
     def places(words: Column) -> Column:
         each = [(phrase_starts(words, p), F.lit(label).alias("label")) for p, label in phrases.items()]
         return F.concat(*(F.transform(at, _placed(label)) for at, label in each))
 
-    def held(block: Column) -> Column:
-        return F.array(*(F.struct(block["line"].alias("line"), F.lit(label).alias("label"),
-                                  containment(block["words"], literal(order), own, threshold).alias("part")) for label, own in sets))
-
-    blocks = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), F.array_distinct(tokens(x)).alias("words")))
-    near = F.filter(blocks, lambda b: F.arrays_overlap(b["words"], literal(firsts)))
-    matches = F.filter(F.flatten(F.transform(near, held)), lambda m: m["part"].isNotNull())
+    anchors = F.filter(F.transform("words", lambda w, i: F.when(w.isin(firsts), i)), lambda i: i.isNotNull())
+    matches = F.concat(*(window_matches(F.col("words"), F.col("anchors"), literal(order), label, own, length, threshold)
+                         for (label, own), length in zip(sets, lengths, strict=True)))
     seen = F.struct(places(F.col("words")).alias("base"), matches.alias("matches"))
     nothing = F.struct(F.array().cast("array<struct<start:int,label:string>>").alias("base"),
-                       F.array().cast("array<struct<line:string,label:string,part:double>>").alias("matches"))
+                       F.array().cast("array<struct<start:int,block:string,label:string,part:double>>").alias("matches"))
     hit = F.arrays_overlap("words", literal(sorted({*firsts, *(p.split(" ")[-1] for p in phrases)})))
+    slim = slim.withColumn("anchors", F.when(F.arrays_overlap("words", literal(firsts)), anchors).otherwise(F.array().cast("array<int>")))
     found = slim.select(id_col, F.size("words").cast("long").alias("n_words"), F.when(hit, seen).otherwise(nothing).alias("seen"))
     found = found.select(id_col, "n_words", "seen.*")
     starts, base = F.col("base.start"), F.array_distinct(F.col("base.label"))

@@ -1,7 +1,9 @@
 """Packing, HTML text, quality, licence scan, PII and mixing against small cases and plain recomputations."""
 
+import math
 import random
 import re
+import textwrap
 import zlib
 
 import pytest
@@ -138,6 +140,37 @@ def test_license_places_and_labels(spark, docs, no_docs):
     assert got[2].labels == "cc-by-nc" and got[2].base_labels == "" and got[3].labels == ""
 
 
+def test_license_blocks_are_windows_of_the_whole_text(spark):
+    wrapped = {(label, t): textwrap.fill(t, 40) for label, own in license_scan.TEMPLATES.items() for t in own}
+    far = "this " + "x " * 300 + "work is licensed " + "y " * 300 + "under a creative commons attribution 4 0 international license"
+    wrong = ["Licensed under CC BY 4.0.", "Released under the Apache License", far]
+    rows = list(enumerate([f"{'p ' * 50}\n{t}\n{'q ' * 50}" for t in (*wrapped.values(), *wrong)]))
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, t) in enumerate(wrapped):
+        assert got[i].labels == label and [(m.label, m.part) for m in got[i].matches][:1] == [(label, 1.0)]
+        assert got[i].matches[0].start >= 50 - len(t.split()) and all(w in got[i].matches[0].block.split() for w in license_scan.words_of(t))
+    assert [got[len(wrapped) + k].labels for k in range(3)] == ["", "apache", ""]
+
+
+def test_license_windows_equal_brute_force(spark):
+    rng = random.Random(3)
+    templates = {"aa": ["a b c d e f g h i j k l"], "bb": ["bb m n a b"]}
+    rows = [(i, " ".join(rng.choice([*"abcdefghijklmn", "bb", "z"]) for _ in range(rng.randrange(60)))) for i in range(150)]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), templates=templates, threshold=0.7).collect()}
+    seen = set()
+    for i, text in rows:
+        w, parts = text.split(), {}
+        for label, (t,) in templates.items():
+            own, size = set(t.split()), math.ceil(len(t.split()) / 0.7)
+            for s in range(len(w)):
+                held = own & set(w[s:s + size])
+                if len(held) >= math.ceil(0.7 * len(own) - 1e-9) and (label == "aa" or "bb" in held):
+                    parts[label] = max(parts.get(label, 0), len(held) / len(own))
+        seen |= set(parts)
+        assert got[i].labels == ",".join(sorted(parts)) and got[i].score == max(parts.values(), default=0.0)
+    assert seen == {"aa", "bb"}
+
+
 def test_pii_surrogates_keep_kind_format_and_identity(spark):
     rows = [(1, "Mail Anna.Smith@mail7.example.com or +1 (017) 555-7713, also +1-017-555-7713."), (2, "anna.smith@mail7.example.com"),
             (3, "10.0.0.7 and 213.174.22.103; 4111 1111 1111 1111 4283648832092189"), (4, "Mr. John Smith met Mrs. Mary Jones. Smith left; Mr. Smith came."),
