@@ -160,7 +160,9 @@ def derived(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
                      F.lit("example."), F.when(top.isin("com", "net", "org"), top).otherwise("com"))
     private = F.regexp_extract(norm, r"^(10\.|192\.168\.|127\.)", 1)
     octets = F.concat_ws(".", b(0) % 223 + 1, b(1), b(2), b(3) % 254 + 1)
-    ip = F.when(private == "192.168.", F.concat(private, b(1).cast("string"), F.lit("."), (b(2) % 254 + 1).cast("string"))).when(
+    ip = F.when((private == "192.168.") & (attempt >= 16), F.concat_ws(".", F.lit("10"), b(1), b(2), b(3) % 254 + 1)).when(
+        (private == "192.168.") & (attempt >= 8), F.concat_ws(".", F.lit("172"), b(0) % 16 + 16, b(1), b(3) % 254 + 1)).when(
+        private == "192.168.", F.concat(private, b(1).cast("string"), F.lit("."), (b(2) % 254 + 1).cast("string"))).when(
         private != "", F.concat(private, F.concat_ws(".", b(1), b(2), b(3) % 254 + 1))).otherwise(octets)
     kept = F.when(kind == "phone", F.greatest(F.length(norm) - 10, F.lit(0))).when(kind == "card", 1).otherwise(0)
     digits = F.concat(F.substring(norm, F.lit(1), kept), F.substring(_masked(norm, stream), kept + 1, F.length(norm)))

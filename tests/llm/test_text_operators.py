@@ -171,6 +171,13 @@ def test_license_windows_equal_brute_force(spark):
     assert seen == {"aa", "bb"}
 
 
+def test_pii_private_addresses_do_not_run_out(spark):
+    tried = spark.range(100_000).selectExpr("concat('192.168.', id DIV 2 DIV 254, '.', id DIV 2 % 254 + 1) AS norm", "int(id % 2) AS late")
+    for first, form, most in ((0, r"192\.168\.", 0), (8, r"172\.(1[6-9]|2[0-9]|3[01])\.", 65_024), (16, r"10\.", 65_024)):
+        got = tried.select(pii.derived(F.lit("ip"), F.col("norm"), F.col("late") + first, "k").alias("s")).distinct().collect()
+        assert all(re.match(form, r.s) for r in got) and len(got) > most
+
+
 def test_pii_surrogates_keep_kind_format_and_identity(spark):
     rows = [(1, "Mail Anna.Smith@mail7.example.com or +1 (017) 555-7713, also +1-017-555-7713."), (2, "anna.smith@mail7.example.com"),
             (3, "10.0.0.7 and 213.174.22.103; 4111 1111 1111 1111 4283648832092189"), (4, "Mr. John Smith met Mrs. Mary Jones. Smith left; Mr. Smith came."),
