@@ -118,6 +118,7 @@ class WordTokenizer:
                 ids.append(model["vocab"][token])
         self.lookup = np.array(ids, "<u4")
         self.rank_of = {v: k for k, v in enumerate(ids)}
+        self.tokens = list(ranks)                        # by rank
         self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.words: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}                # the generation before, still looked up

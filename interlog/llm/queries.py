@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from interlog.llm import ann, html_text, license_scan, minhash, mixing, packing, pii, quality, url_filter, vector_dedup
+from interlog.llm import (
+    ann, html_text, lexical, license_scan, minhash, mixing, packing, pii, quality, spelling, token_counts, url_filter, vector_dedup)
 from interlog.llm.shared import LOWER, UPPER, table
 
 PII_KEY = "registered-query-key"
@@ -74,6 +75,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.queue(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +95,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii_surrogates, op2_packing, op3_html_text, op4_embedding_dedup, op5_quality_classifier, op6_url_filter,
-    op7_license_scan, op8_minhash, op9_ann, op10_mixing, pipeline)}
+    op7_license_scan, op8_minhash, op9_ann, op10_mixing, op11_lexical_search, op12_token_counts, op13_spelling_variants,
+    pipeline)}
 
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 #: (node, root) of the nodes in ``links`` (a, b in both directions)
@@ -98,6 +112,7 @@ def _list(words: list[str]) -> str:
 _PHRASES = ", ".join(f"({_list(p.split(' '))}, '{label}')" for p, label in license_scan.PHRASES.items())
 _TEMPLATES = ", ".join(f"('{label}', {_list(license_scan.words_of(t))})" for label, texts in license_scan.TEMPLATES.items() for t in texts)
 _WORD = license_scan.WORD
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLE: dict[str, str] = {
     "op4_embedding_dedup": f"""
@@ -156,4 +171,39 @@ WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^
   q AS (SELECT *, sum(size) OVER (ORDER BY time, rank) AS upto FROM c),
   k AS (SELECT doc_id, sum(size)::BIGINT AS taken FROM q WHERE upto <= (SELECT sum(target) FROM g) GROUP BY doc_id)
 SELECT e.doc_id, source, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM e LEFT JOIN k ON e.doc_id = k.doc_id""",
+    "op11_lexical_search": f"""
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM documents),
+  tf AS (SELECT doc_id, t, count(*) AS tf FROM words GROUP BY ALL),
+  n AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+  s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+  m AS (SELECT doc_id, 100 - 90 + ((90 * n * docs) // total) AS m FROM n, s),
+  asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark),
+  w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY t),
+  scores AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN tf USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY ALL),
+  ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+  found AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+  runs AS (SELECT run, concat(doc_id, ':', run) AS s, count(*) AS c FROM found WHERE length(run) >= 6 GROUP BY ALL),
+  bytes AS (SELECT run, c, flatten(list_transform(range(1, length(s) + 1), lambda i: CASE WHEN ord(s[i]) < 128 THEN [ord(s[i])::BIGINT]
+    ELSE [(192 + (ord(s[i]) >> 6))::BIGINT, (128 + (ord(s[i]) & 63))::BIGINT] END)) AS b FROM runs),
+  hashed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, b), lambda h, x: xor(h >> 8, tab[(xor(h, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc),
+  words AS (SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word,
+    sum(c)::BIGINT AS n FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(c) >= 5),
+  gaps AS (SELECT word, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+  shorter AS (SELECT DISTINCT g.word, w.word AS other FROM gaps g JOIN words w ON concat(g.head, g.tail) = w.word),
+  near AS (SELECT a.word, b.word AS other FROM gaps a JOIN gaps b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+    UNION SELECT word, other FROM shorter UNION SELECT other, word FROM shorter),
+  best AS (SELECT near.word, other, o.n AS other_n, w.n, count(*) OVER (PARTITION BY near.word) AS n_near,
+      row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+    FROM near JOIN words w ON near.word = w.word JOIN words o ON other = o.word),
+  forms AS (SELECT word, other AS form, other_n AS form_n FROM best WHERE place = 1 AND other_n >= 5 * n),
+  path(word, root) AS (SELECT word, word FROM words UNION ALL SELECT path.word, form FROM path JOIN forms ON root = forms.word),
+  roots AS (SELECT path.word, root FROM path WHERE root NOT IN (SELECT word FROM forms))
+SELECT words.word, form, root, words.n, coalesce(n_near, 0) AS n_near, form_n
+FROM words JOIN roots ON words.word = roots.word LEFT JOIN forms ON words.word = forms.word
+  LEFT JOIN best ON words.word = best.word AND place = 1""",
 }
