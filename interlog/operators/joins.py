@@ -39,12 +39,26 @@ def known_ids_filter(test: DataFrame, history: DataFrame) -> DataFrame:
                 .join(history.select("content_id").distinct(), "content_id", "left_semi"))
 
 
+def asked_rows(state: DataFrame, asked: DataFrame, max_keys: int = 1_000_000) -> DataFrame:
+    """The rows of ``state`` whose key occurs in ``asked`` (its key columns). Up to ``max_keys`` counted rows the keys
+    are broadcast and the semi-join runs where the state is scanned, before any shuffle; beyond, it is an ordinary
+    semi-join."""
+    small = asked.limit(max_keys + 1).count() <= max_keys
+    return state.join(F.broadcast(asked) if small else asked, asked.columns, "left_semi")
+
+
 def state_lookup(batch: DataFrame, users: DataFrame, users_content: DataFrame, users_tag: DataFrame,
-                 users_part: DataFrame, questions: DataFrame, session_hours: float = 72) -> DataFrame:
+                 users_part: DataFrame, questions: DataFrame, session_hours: float = 72,
+                 max_keys: int = 1_000_000) -> DataFrame:
     """Serving features for a batch of question rows from the state tables; 0 / -1 where absent.
 
-    ``questions`` carries (question_id, part, tag_0, tags_array) and any per-question columns."""
+    ``questions`` carries (question_id, part, tag_0, tags_array) and any per-question columns. Each state table is
+    cut down to the keys that the batch asks for before it is moved (``asked_rows``), so a small batch does not
+    shuffle whole states."""
     gap = session_hours * 3_600_000
+    users, users_content, users_tag, users_part = (
+        asked_rows(state, asked, max_keys) for state, asked in zip(
+            (users, users_content, users_tag, users_part), asked_keys(batch, questions), strict=True))
     u = users.select("user_id", *[F.col(c).alias(f"u_{c}") for c in users.columns if c != "user_id"])
     tag_sum = (batch.select("row_id", "user_id", "content_id")
                .join(questions.select(F.col("question_id").alias("content_id"),
@@ -98,6 +112,14 @@ def state_lookup(batch: DataFrame, users: DataFrame, users_content: DataFrame, u
         "part", "tag_0")
 
 
+def asked_keys(batch: DataFrame, questions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The keys that question rows ask of the states by user, (user, content), (user, tag) and (user, part)."""
+    rows = batch.select("user_id", "content_id").distinct()
+    of = rows.join(questions.select(F.col("question_id").alias("content_id"), "part", "tags_array"), "content_id")
+    return (rows.select("user_id").distinct(), rows, of.select("user_id", F.explode("tags_array").alias("tag")).distinct(),
+            of.select("user_id", "part").distinct())
+
+
 def prior_rows_join(train: DataFrame, window: int = 10) -> DataFrame:
     """Per row: count and answer sum of the user's rows in earlier containers whose row id is at least
     the container's first row id minus (window + 1).

@@ -13,7 +13,8 @@ from interlog.operators.containers import TC, is_q
 from interlog.plans.q_more import EMB_SQL, FOLDS, _emb
 from interlog.plans.registry import T, register
 from interlog.session import checkpoint_dir
-from interlog.streaming import serving
+from interlog.streaming import answers, families, serving
+from interlog.streaming.buckets import ServingTables
 
 
 def scratch(spark, name: str) -> str:
@@ -28,6 +29,24 @@ def q_attach(spark, sf):
     return serving.attach_delayed_answers(rows.drop("answered_correctly"), msgs).select("row_id", "answered_correctly")
 
 
+@register("stream_attach_delayed_answers", "SELECT row_id, answered_correctly FROM interactions")
+def q_stream_attach(spark, sf):
+    """Questions and answers replayed as two streams; an answer comes with the next 6-hour batch."""
+    rows = T(spark, sf).interactions()
+    asked = F.timestamp_seconds(F.col("batch_id") * 21_600)
+    qs = rows.select("row_id", "user_id", asked.alias("asked_at"))
+    ans = rows.select("row_id", "answered_correctly", (asked + F.expr("INTERVAL 6 HOURS")).alias("answered_at"))
+    streams = []
+    for name, df in (("asked", qs), ("answered", ans)):
+        src = scratch(spark, name)
+        answers.replay_by_time(df, src, f"{name}_at", 4)
+        streams.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src))
+    out = answers.stream_attach_delayed_answers(*streams)
+    res = serving.run_to_table(spark, out.select("row_id", "answered_correctly"), scratch(spark, "attach-out"),
+                               scratch(spark, "attach-ckpt"))
+    return res
+
+
 def users_state0(t):
     """Serving user state (the reference's users table) from the rows before each fold start."""
     hist = t.ftrain().where(F.col("fold").isNull())
@@ -150,6 +169,69 @@ def q_streaming_asof(spark, sf):
     return res.join(q, "row_id", "left_semi").select(*ASOF_COLS)
 
 
+FAMILY_COLS = [f"{c}{s}" for s in ("", *families.FAMILIES) for c in ("ac_cumsum", "r_cumcnt", "l_cumcnt", "pqet_cumsum",
+                                                                        "ac_cumsum_pct", "pqet_cumavg")
+               if not (c == "l_cumcnt" and s == "_content_id")] + ["r_cumcnt_clip"]
+
+
+@register("streaming_asof_families", "SELECT row_id, user_id, "
+          + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in FAMILY_COLS) + " FROM f51 WHERE content_type_id = 0")
+def q_streaming_families(spark, sf):
+    """Interactions replayed in time order through the per-user value and map states (rows 50 and 51)."""
+    t = T(spark, sf)
+    raw = t.interactions()
+    src = scratch(spark, "families-src")
+    parts = serving.replay_files(raw, src, n_chunks=4, partitions=spark.sparkContext.defaultParallelism)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", parts).parquet(src)
+    with families.settings(spark, families.ROCKSDB):
+        res = serving.run_to_table(spark, families.streaming_asof_families(stream, t.content()),
+                                   scratch(spark, "families-out"), scratch(spark, "families-ckpt"))
+    return res.where(is_q()).select("row_id", "user_id", *FAMILY_COLS)
+
+
+def _merged(spark, sf, name):
+    """A state table that starts from the rows before each fold's start and then takes the fold rows in three
+    micro-batches, several containers of a user in each."""
+    t = T(spark, sf)
+    cols = ("row_id", "user_id", "timestamp", "content_id", "content_type_id", "answered_correctly")
+    serve = ServingTables(spark, scratch(spark, name), t.content(), buckets=16)
+    serve.merge(0, t.ftrain().where(F.col("fold").isNull()).select(*cols), only=[name])
+    live = t.ftrain().where(F.col("fold").isNotNull())
+    low, high = live.agg(F.min("batch_id"), F.max("batch_id")).first()
+    if low is not None:
+        place = F.floor((F.col("batch_id") - low) * 3 / (high - low + 1))
+        for i in range(3):
+            serve.merge(i + 1, live.where(place == i).select(*cols), only=[name])
+    return serve.keyed[name].read()
+
+
+def _totals_sql(keys: str, suffix: str, source: str, extra: str = "") -> str:
+    q = "CASE WHEN content_type_id = 0 THEN {} ELSE 0 END"
+    return FOLDS + f"""
+SELECT {keys}, CAST(SUM({q.format('answered_correctly')}) AS BIGINT) AS ac_cumsum{suffix},
+  CAST(SUM({q.format('1 - answered_correctly')}) AS BIGINT) AS aic_cumsum{suffix},
+  CAST(SUM({q.format('1')}) AS BIGINT) AS r_cumcnt{suffix},
+  CAST(SUM(CASE WHEN content_type_id = 1 THEN 1 ELSE 0 END) AS BIGINT) AS l_cumcnt{suffix}
+FROM {source} {extra} GROUP BY {keys}"""
+
+
+@register("upsert_user_content_state", _totals_sql("user_id, content_id", "_content_id", "ftrain", "WHERE content_type_id = 0"))
+def q_upsert_user_content(spark, sf):
+    return _merged(spark, sf, "users_content")
+
+
+@register("upsert_user_tag_state", _totals_sql(
+    "user_id, tag", "_tag", "(SELECT t.user_id, t.answered_correctly, t.content_type_id, u.tag FROM ftrain t "
+    "JOIN content c ON t.ql_id = c.ql_id, UNNEST(c.tags_array) AS u(tag))"))
+def q_upsert_user_tag(spark, sf):
+    return _merged(spark, sf, "users_tag")
+
+
+@register("upsert_question_totals", _totals_sql("content_id", "_question", "ftrain", "WHERE content_type_id = 0"))
+def q_upsert_question_totals(spark, sf):
+    return _merged(spark, sf, "questions")
+
+
 @register("foreach_batch_scoring")
 def q_foreach(spark, sf):
     """Serving replay: fold rows stream in by batch; each micro-batch is scored from the current user

@@ -3,7 +3,7 @@
 The reference serves one batch at a time: attach the previous batch's answers, update the user /
 content / tag / part state, read the state for the new questions, score, emit. Here the state lives in
 Spark: either in the streaming state store (``streaming_asof_features``, one small row per user) or in
-versioned parquet snapshots that ``foreachBatch`` merges each micro-batch (``foreach_batch_scoring``).
+bucketed tables of which ``foreachBatch`` rewrites what a micro-batch touches (``foreach_batch_scoring``).
 """
 
 from __future__ import annotations
@@ -251,28 +251,25 @@ def prediction_scorecard(pred: DataFrame, truth: DataFrame, score: str = "answer
 
 
 def foreach_batch_scoring(stream: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
-                          users0: DataFrame, score_fn) -> None:
-    """Per micro-batch: read the latest user state snapshot, look up features for the batch's
+                          users0: DataFrame, score_fn, buckets: int = 32) -> None:
+    """Per micro-batch: read the current state of the batch's users, look up features for its
     questions, score them (``score_fn(questions, users) -> DataFrame(row_id, answered_correctly)``),
-    append the predictions, then merge the batch's answers into a new state snapshot.
+    append the predictions, then merge the batch's answers into the state.
 
-    State and predictions are tables partitioned by ``epoch`` and written with dynamic partition
-    overwrite, so a replayed epoch (after a failure) rewrites exactly its own partition."""
-    from interlog.session import cut_lineage
+    The state lies in buckets (``buckets.BucketedState``): an epoch reads and rewrites the buckets of its own
+    users only, and versions before the last two are removed. Predictions are a folder per epoch. A replayed
+    epoch (after a failure) starts from the state before it and rewrites exactly its own files."""
+    from interlog.streaming.buckets import BucketedState
 
-    users0.withColumn("epoch", F.lit(-1).cast("long")).write.mode("overwrite").partitionBy("epoch").parquet(state_dir)
+    spark = users0.sparkSession
+    state = BucketedState(spark, state_dir, ", ".join(f"{c} long" for c in USER_STATE), ["user_id"], buckets)
+    state.create(users0)
 
     def step(batch: DataFrame, epoch: int):
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        snap = spark.read.parquet(state_dir)
-        prev = snap.where(F.col("epoch") < epoch).agg(F.max("epoch")).first()[0]
-        users = cut_lineage(snap.where(F.col("epoch") == prev).drop("epoch"))
-        preds = score_fn(batch.where(is_q()), users)
-        (preds.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite")
-              .partitionBy("epoch").parquet(out_dir))
-        (upsert_user_state(users, batch).withColumn("epoch", F.lit(epoch).cast("long"))
-              .write.mode("overwrite").partitionBy("epoch").parquet(state_dir))
+        users = state.read_for(batch, epoch)
+        score_fn(batch.where(is_q()), users).write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+        state.merge(epoch, batch, lambda old: upsert_user_state(old, batch))
+        state.vacuum()
 
     q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
