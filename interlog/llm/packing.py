@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
 END_ID = 1                       # closes every document
-CACHE_WORDS = 200_000            # words of a cache generation; a worker keeps two
+CACHE_WORDS = 400_000            # words of a cache generation; a worker keeps two
 FIRST_ODD = "\u0130"             # below it, lower case and composition are one character each
 ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 
@@ -83,6 +83,18 @@ def deal(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
+class _Learned(dict):
+    """Words and their ranks; a missing word is learned when it is asked for."""
+
+    def __init__(self, learn):
+        super().__init__({"": b""})
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.learn(word)
+        return found
+
+
 class WordTokenizer:
     """Ids of whole texts, word by word through a cache of bounded size.
 
@@ -120,36 +132,28 @@ class WordTokenizer:
         self.rank_of = {v: k for k, v in enumerate(ids)}
         self.tokens = list(ranks)                        # by rank
         self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-        self.words: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = _Learned(self._learn)
         self.older: dict[str, bytes] = {}                # the generation before, still looked up
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*split).difference(self.words)
-        if len(self.words) + len(missing) > CACHE_WORDS:
-            self.older, self.words = self.words, {"": b""}
-            missing = set().union(*split)
-        self._learn(missing)
-        get = self.words.__getitem__
         out = []
-        for words in split:
-            ranks = np.frombuffer(b"".join(map(get, words)), np.uint32)
+        for text in texts:
+            if len(self.words) > CACHE_WORDS:
+                self.older, self.words = self.words, _Learned(self._learn)
+            words = text.replace("\n", " ").split(" ")
+            ranks = np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint32)
             ids = np.full(len(ranks) + 1, END_ID, "<u4")
             ids[:-1] = self.lookup[ranks]
             out.append(ids)
         return out
 
-    def _learn(self, missing: set[str]) -> None:
-        words, older, merge, end = self.words, self.older, self.merge, self.WORD_END
-        if older:
-            again = missing & older.keys()
-            words.update(zip(again, map(older.__getitem__, again), strict=True))
-            missing = missing - again
-        for w in missing:
-            if w.isalpha() and (w.isascii() or max(w) < FIRST_ODD):
-                words[w] = array("I", merge(w.lower().encode() + end)).tobytes()
-            else:
-                words[w] = b"".join([self._part(p) for p in self._pieces(w)])
+    def _learn(self, w: str) -> bytes:
+        known = self.older.get(w)
+        if known is not None:
+            return known
+        if w.isalpha() and (w.isascii() or max(w) < FIRST_ODD):
+            return array("I", self.merge(w.lower().encode() + self.WORD_END)).tobytes()
+        return b"".join([self._part(p) for p in self._pieces(w)])
 
     def _part(self, part: str) -> bytes:
         known = self.words.get(part)
@@ -170,9 +174,19 @@ class WordTokenizer:
         return [core, word[len(core):]] if core and len(core) < len(word) and core[-1].isalpha() else [word]
 
 
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def tokenizer(path: str) -> WordTokenizer:
+    """The worker's tokenizer, whose words serve all tasks that the worker runs."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, group: int, piece: int,
           slack: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = WordTokenizer(path)
+    ids_of = tokenizer(path).ids
     next_id = TaskContext.get().partitionId() << 36
     room = group * (capacity - slack)           # tokens of one differencing group
     tails: list[tuple] = []                     # (doc_id, start, length, crc, doc_tokens)
@@ -193,7 +207,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, group: in
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             keys, texts = (c.to_pylist() for c in batch.slice(at, 64).columns)
-            for key, ids in zip(keys, tokenizer.ids(texts), strict=True):
+            for key, ids in zip(keys, ids_of(texts), strict=True):
                 total, start = len(ids), 0
                 while total - start >= capacity:
                     own = ids[start:start + capacity]
