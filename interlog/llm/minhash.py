@@ -9,9 +9,10 @@ makes no hot list. Two sets that link and have at most ``posted`` values in thei
 Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next three.
 After each round linked documents are merged, and lists whose members are all in one component are done, so
 a large group of copies costs a few pairs a member. The lists that still hold several components then meet
-whole inside tasks: a long list is dealt out in tiles, a task compares two tiles, and only a forest of the
-links it found leaves it, never pairs. Pairs are kept by size, then by the similarity that the union's sketch
-estimates, and confirmed on the full sets.
+inside tasks: a long list is dealt out in tiles and a task compares two tiles. They meet with their sketches
+first, from which the members with a likely partner come back, then these with their full sets, from which only
+a forest of the links comes back, never pairs. Of lists with the same members one is kept. Pairs are kept by
+size, then by the similarity that the union's sketch estimates, and confirmed on the full sets.
 
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a shingle make
 one shingle of them all; rows with equal ids are one document; a null id is never linked; an empty table gives
@@ -147,6 +148,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lists = (postings(reps, posted).withColumn("members", F.count("*").over(by_key)).where("members > 1")
              .withColumn("place", F.row_number().over(by_key.orderBy(F.xxhash64("doc_id"), "doc_id"))).drop("members"))
     lists = cut_lineage(lists, "sketch_lists")
+    lists = cut_lineage(lists.join(different(lists), "key", "left_semi"), "sketch_lists")
     roots = linked(lists, every, _texts(docs, id_col, text_col), width, percent, k, least_estimate, tile)
     member = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "n", F.coalesce("root", "rep").alias("component"))
@@ -156,6 +158,14 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def different(lists: DataFrame) -> DataFrame:
+    """One key of those whose lists have the same members (by their number and 128 bits of hashes): copies of a text or
+    a passage share most of their keys, and one list of them finds all their links."""
+    marks = [F.bit_xor(F.xxhash64(F.col("doc_id"), F.lit(salt))) for salt in (1, 2)]
+    same = lists.groupBy("key").agg(F.count("*").alias("members"), marks[0].alias("x"), marks[1].alias("y"))
+    return same.groupBy("members", "x", "y").agg(F.min("key").alias("key")).select("key")
+
+
 def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
            least_estimate: float, tile: int = TILE) -> DataFrame:
     """(node, root) of all documents with a confirmed link."""
@@ -174,7 +184,7 @@ def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, per
         links = cut_lineage(confirmed(pairs, every, texts, width, percent, k, least_estimate), "links")
         roots = merged(roots, links)
         tested, lists = pairs, mine.drop("root")
-    return merged(roots, met_in_tasks(still_open(lists, roots, high), texts, width, percent, k, least_estimate, tile))
+    return merged(roots, met_in_tasks(still_open(lists, roots, high), every, texts, width, percent, k, least_estimate, tile))
 
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -192,26 +202,46 @@ def still_open(lists: DataFrame, roots: DataFrame, met: int) -> DataFrame:
     return cut_lineage(mine.join(split, "key", "left_semi"), "open_lists")
 
 
-def met_in_tasks(mine: DataFrame, texts: DataFrame, width: int, percent: int, k: int, least_estimate: float,
-                 tile: int = TILE) -> DataFrame:
-    """(a, b): forests of the confirmed links between members of a list; a task holds two tiles of one list."""
-    whole = whole_sets(texts, cut_lineage(mine.select("doc_id").distinct(), "open_ids"), width).select("doc_id", "own")
+def met_in_tasks(mine: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
+                 least_estimate: float, tile: int = TILE) -> DataFrame:
+    """(a, b): forests of the confirmed links between members of a list; a task holds two tiles of one list.
+
+    The lists meet twice. First with their sketches, from which only the members come back that some other member
+    may link with; then those alone with their full sets."""
+    low = cut_lineage(only(every.select("doc_id", F.col("low").alias("own")),
+                           cut_lineage(mine.select("doc_id").distinct(), "open_ids")), "open_sketches")
+    likely = dealt(mine, tile).join(low, "doc_id").groupBy("key", "i", "j").applyInArrow(
+        lambda cell: likely_in(cell, percent, k, least_estimate), "key long, doc_id long")
+    mine = cut_lineage(mine.join(likely.distinct(), ["key", "doc_id"], "left_semi"), "likely_members")
+    whole = whole_sets(texts, cut_lineage(mine.select("doc_id").distinct(), "likely_ids"), width).select("doc_id", "own")
     whole = cut_lineage(whole, "open_sets")
-    tiles = mine.groupBy("key").agg(F.ceil(F.sum(F.greatest("n", F.lit(128))) / tile).cast("int").alias("tiles"))
-    dealt = (mine.join(tiles, "key").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
-             .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select("key", F.least("t", "s").alias("i"), F.greatest("t", "s").alias("j"),
-                     (F.col("t") <= F.col("s")).alias("as_left"), "doc_id", "root"))
-    found = dealt.join(whole, "doc_id").groupBy("key", "i", "j").applyInArrow(
+    found = dealt(mine, tile).join(whole, "doc_id").groupBy("key", "i", "j").applyInArrow(
         lambda cell: links_in(cell, percent, k, least_estimate), "a long, b long")
     return cut_lineage(found.distinct(), "links")
 
 
-def links_in(cell: pa.Table, percent: int, k: int, least_estimate: float) -> pa.Table:
-    """A forest of the links between the left and the right rows (or among the left, where there are no others)."""
-    ids, roots, as_left = (np.asarray(cell.column(c)) for c in ("doc_id", "root", "as_left"))
+def dealt(mine: DataFrame, tile: int) -> DataFrame:
+    """The members of each list once for every cell (two tiles, or a tile with itself) that they stand in."""
+    tiles = mine.groupBy("key").agg(F.ceil(F.sum(F.greatest("n", F.lit(128))) / tile).cast("int").alias("tiles"))
+    return (mine.join(tiles, "key").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+            .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .select("key", F.least("t", "s").alias("i"), F.greatest("t", "s").alias("j"),
+                    (F.col("t") <= F.col("s")).alias("as_left"), "doc_id", "n", "root"))
+
+
+def likely_in(cell: pa.Table, percent: int, k: int, least_estimate: float) -> pa.Table:
+    """The members with a likely partner, by their sketches."""
+    u, v, near, _ = candidates(cell, percent, k, least_estimate)
+    rows = np.unique(np.concatenate([u[near.any(1)], v[near.any(0)]])) if near.any() else np.zeros(0, np.int64)
+    return cell.select(["key", "doc_id"]).take(pa.array(rows))
+
+
+def candidates(cell: pa.Table, percent: int, k: int, least_estimate: float) -> tuple:
+    """Left rows, right rows, which of their pairs the sizes and the sketches (an upper bound of the estimate) let pass,
+    and the rows' values."""
+    sizes, roots, as_left = (np.asarray(cell.column(c)) for c in ("n", "root", "as_left"))
     own = cell.column("own").combine_chunks()
-    sizes = np.asarray(own.value_lengths()).astype(np.int64)
+    held = np.asarray(own.value_lengths()).astype(np.int64)
     values = np.asarray(own.flatten())
     one = as_left.all()
     u = np.flatnonzero(as_left)
@@ -220,18 +250,27 @@ def links_in(cell: pa.Table, percent: int, k: int, least_estimate: float) -> pa.
     near = (small * 100 >= large * percent) & (roots[u][:, None] != roots[v])
     if one:
         near = np.triu(near, 1)
-    low = np.minimum(sizes, k)
-    for most in (k, None):                  # the sketches (an upper bound of the estimate), then the full sets
-        left, right = near.any(1), near.any(0)
-        u, v, near = u[left], v[right], near[np.ix_(left, right)]
-        if not near.any():
-            break
-        common = shared_values(values, sizes, u, v, most)
-        if most:
-            union = np.minimum(k, low[u][:, None] + low[v] - common)
-            near &= common >= union * least_estimate
-        else:
-            near &= common * 100 >= (sizes[u][:, None] + sizes[v] - common) * percent
+    u, v, near = _left(u, v, near)
+    if near.any():
+        low = np.minimum(sizes, k)
+        common = shared_values(values, held, u, v, k)
+        near &= common >= np.minimum(k, low[u][:, None] + low[v] - common) * least_estimate
+        u, v, near = _left(u, v, near)
+    return u, v, near, (values, held)
+
+
+def _left(u: np.ndarray, v: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, columns = near.any(1), near.any(0)
+    return u[rows], v[columns], near[np.ix_(rows, columns)]
+
+
+def links_in(cell: pa.Table, percent: int, k: int, least_estimate: float) -> pa.Table:
+    """A forest of the links between the left and the right rows (or among the left, where there are no others)."""
+    ids, sizes = np.asarray(cell.column("doc_id")), np.asarray(cell.column("n"))
+    u, v, near, (values, held) = candidates(cell, percent, k, least_estimate)
+    if near.any():
+        common = shared_values(values, held, u, v, None)
+        near &= common * 100 >= (sizes[u][:, None] + sizes[v] - common) * percent
     forest = Forest(len(ids))
     x, y = np.nonzero(near)
     if len(x):
@@ -263,7 +302,8 @@ def shared_values(values: np.ndarray, sizes: np.ndarray, u: np.ndarray, v: np.nd
 
 
 def ids_of(pairs: DataFrame, name: str) -> DataFrame:
-    return cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), name)
+    ends = [pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b")]
+    return cut_lineage(ends[0].union(ends[1]).distinct(), name)
 
 
 def confirmed(pairs: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
