@@ -9,10 +9,9 @@ makes no hot list. Two sets that link and have at most ``posted`` values in thei
 Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next three.
 After each round linked documents are merged, and lists whose members are all in one component are done, so
 a large group of copies costs a few pairs a member. The lists that still hold several components then meet
-inside tasks: a long list is dealt out in tiles and a task compares two tiles. They meet with their sketches
-first, from which the members with a likely partner come back, then these with their full sets, from which only
-a forest of the links comes back, never pairs. Of lists with the same members one is kept. Pairs are kept by
-size, then by the similarity that the union's sketch estimates, and confirmed on the full sets.
+whole inside tasks: a long list is dealt out in tiles, a task compares two tiles, and only a forest of the
+links it found leaves it, never pairs. Of lists with the same members one is kept. Pairs are kept by size, then
+by the similarity that the union's sketch estimates, and confirmed on the full sets.
 
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a shingle make
 one shingle of them all; rows with equal ids are one document; a null id is never linked; an empty table gives
@@ -33,7 +32,7 @@ from interlog.session import cut_lineage
 
 HASHES = Hashes()
 RANGE = 1 << 20                 # bytes of text worked on at once
-TILE = 1 << 17                  # set values of one tile of a list, a set counting as 128 at least
+TILE = 1 << 18                  # set values of one tile of a list, a set counting as 128 at least
 CELLS = 1 << 22                 # cells of a table of sets by values that is filled at once
 SMALL = 500_000                 # ids that a broadcast may hold; more are joined by a shuffle
 SEED2 = np.uint64(0x5851F42D4C957F2D)
@@ -184,7 +183,7 @@ def linked(lists: DataFrame, every: DataFrame, texts: DataFrame, width: int, per
         links = cut_lineage(confirmed(pairs, every, texts, width, percent, k, least_estimate), "links")
         roots = merged(roots, links)
         tested, lists = pairs, mine.drop("root")
-    return merged(roots, met_in_tasks(still_open(lists, roots, high), every, texts, width, percent, k, least_estimate, tile))
+    return merged(roots, met_in_tasks(still_open(lists, roots, high), texts, width, percent, k, least_estimate, tile))
 
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -202,18 +201,10 @@ def still_open(lists: DataFrame, roots: DataFrame, met: int) -> DataFrame:
     return cut_lineage(mine.join(split, "key", "left_semi"), "open_lists")
 
 
-def met_in_tasks(mine: DataFrame, every: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
+def met_in_tasks(mine: DataFrame, texts: DataFrame, width: int, percent: int, k: int,
                  least_estimate: float, tile: int = TILE) -> DataFrame:
-    """(a, b): forests of the confirmed links between members of a list; a task holds two tiles of one list.
-
-    The lists meet twice. First with their sketches, from which only the members come back that some other member
-    may link with; then those alone with their full sets."""
-    low = cut_lineage(only(every.select("doc_id", F.col("low").alias("own")),
-                           cut_lineage(mine.select("doc_id").distinct(), "open_ids")), "open_sketches")
-    likely = dealt(mine, tile).join(low, "doc_id").groupBy("key", "i", "j").applyInArrow(
-        lambda cell: likely_in(cell, percent, k, least_estimate), "key long, doc_id long")
-    mine = cut_lineage(mine.join(likely.distinct(), ["key", "doc_id"], "left_semi"), "likely_members")
-    whole = whole_sets(texts, cut_lineage(mine.select("doc_id").distinct(), "likely_ids"), width).select("doc_id", "own")
+    """(a, b): forests of the confirmed links between members of a list; a task holds two tiles of one list."""
+    whole = whole_sets(texts, cut_lineage(mine.select("doc_id").distinct(), "open_ids"), width).select("doc_id", "own")
     whole = cut_lineage(whole, "open_sets")
     found = dealt(mine, tile).join(whole, "doc_id").groupBy("key", "i", "j").applyInArrow(
         lambda cell: links_in(cell, percent, k, least_estimate), "a long, b long")
@@ -229,13 +220,6 @@ def dealt(mine: DataFrame, tile: int) -> DataFrame:
                     (F.col("t") <= F.col("s")).alias("as_left"), "doc_id", "n", "root"))
 
 
-def likely_in(cell: pa.Table, percent: int, k: int, least_estimate: float) -> pa.Table:
-    """The members with a likely partner, by their sketches."""
-    u, v, near, _ = candidates(cell, percent, k, least_estimate)
-    rows = np.unique(np.concatenate([u[near.any(1)], v[near.any(0)]])) if near.any() else np.zeros(0, np.int64)
-    return cell.select(["key", "doc_id"]).take(pa.array(rows))
-
-
 def candidates(cell: pa.Table, percent: int, k: int, least_estimate: float) -> tuple:
     """Left rows, right rows, which of their pairs the sizes and the sketches (an upper bound of the estimate) let pass,
     and the rows' values."""
