@@ -54,13 +54,35 @@ def assign_ql_id(train: DataFrame, content: DataFrame) -> DataFrame:
     return base.join(keys, ["content_id", "content_type_id"], "left")
 
 
-def one_hots(content: DataFrame, tags: list[int], parts: list[int]) -> DataFrame:
-    """Multi-hot ``tag_NNN`` and one-hot ``part_N`` columns per content row."""
+MAX_HOT = 2000                  # columns of a multi-hot table
+
+
+def hot_values(content: DataFrame) -> tuple[list[int], list[int]]:
+    """The tags and parts that the catalogue holds, sorted: a small dimension of its own, whose size is checked."""
+    tags = content.select(F.explode("tags_array").alias("v")).distinct()
+    parts = content.select(F.col("part").alias("v")).where("v is not null").distinct()
+    found = [[r.v for r in df.orderBy("v").limit(MAX_HOT + 1).collect()] for df in (tags, parts)]
+    if sum(map(len, found)) > MAX_HOT:
+        raise ValueError(f"more than {MAX_HOT} tags and parts; use content_tag_pairs")
+    return found[0], found[1]
+
+
+def one_hots(content: DataFrame, tags: list[int] | None = None, parts: list[int] | None = None) -> DataFrame:
+    """Multi-hot ``tag_NNN`` and one-hot ``part_N`` columns per content row, by default one for each tag and part
+    of the catalogue."""
+    if tags is None or parts is None:
+        found = hot_values(content)
+        tags, parts = found[0] if tags is None else tags, found[1] if parts is None else parts
     cols = [F.array_contains("tags_array", t).cast("int").alias(f"tag_{t:03d}") for t in tags]
     cols += [(F.col("part") == p).cast("int").alias(f"part_{p}") for p in parts]
     return content.select("ql_id", *cols)
 
 
+def long_hots(hots: DataFrame) -> DataFrame:
+    """(ql_id, name, hot): a row for each column of ``one_hots``."""
+    return hots.unpivot("ql_id", [c for c in hots.columns if c != "ql_id"], "name", "hot")
+
+
 def content_tag_pairs(content: DataFrame) -> DataFrame:
     """(question_id, tag) bridge table, plus the question's part and first tag."""
     return content.where(F.col("question_id").isNotNull()).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 
 from interlog.operators import asof, containers, content as content_ops
+from interlog.plans import oracle as O
 from interlog.plans.registry import T, arr_text, register
 
 ASOF50 = ["ac_cumsum", "r_cumcnt", "ac_cumsum_pct", "l_cumcnt", "pqet_cumsum", "pqet_cumavg",
@@ -93,12 +94,9 @@ def q_assign_ql_id(spark, sf):
     return content_ops.assign_ql_id(t.interactions(), t.content()).select("row_id", "ql_id")
 
 
-@register("one_hots", """
-SELECT ql_id, """ + ", ".join(
-    [f"CAST(list_contains(tags_array, {g}) AS INTEGER) AS tag_{g:03d}" for g in range(33)] + [
-     f"CAST(part = {p} AS INTEGER) AS part_{p}" for p in range(1, 8)]) + " FROM content")
+@register("one_hots", O.HOTS + " SELECT ql_id, name, hot FROM hots")
 def q_one_hots(spark, sf):
-    return content_ops.one_hots(T(spark, sf).content(), list(range(33)), list(range(1, 8)))
+    return content_ops.long_hots(content_ops.one_hots(T(spark, sf).content()))
 
 
 @register("content_tag_pairs", """

@@ -9,6 +9,7 @@ from interlog.operators.containers import is_q
 from interlog.operators.folds import feature_columns
 from interlog.plans.q_more import FOLDS
 from interlog.plans.q_stream import scratch
+from interlog.plans import oracle as O
 from interlog.plans.registry import T, register
 from interlog.sources import fixture, io
 
@@ -30,15 +31,14 @@ def q_load_csv(spark, sf):
     return io.load_csv(spark, path, ISCHEMA)
 
 
-HOTS = [0, 9, 20]
-
-
-@register("load_json_lines", "SELECT ql_id, " + ", ".join(
-    f"CAST(list_contains(tags_array, {g}) AS INTEGER) AS tag_{g:03d}" for g in HOTS) + " FROM content")
+@register("load_json_lines", O.HOTS + " SELECT ql_id, name, hot FROM hots")
 def q_load_json(spark, sf):
+    """The whole multi-hot table written as JSON lines and read back under its schema."""
     path = scratch(spark, "json")
-    content_ops.one_hots(T(spark, sf).content(), HOTS, []).write.json(path)
-    return io.load_json_lines(spark, path, "ql_id long, " + ", ".join(f"tag_{g:03d} int" for g in HOTS))
+    hots = content_ops.one_hots(T(spark, sf).content())
+    hots.write.json(path)
+    schema = ", ".join(f"{c} {t}" for c, t in hots.dtypes)
+    return content_ops.long_hots(io.load_json_lines(spark, path, schema))
 
 
 @register("read_table", "SELECT ql_id, question_id, part, tags FROM content")

@@ -122,22 +122,9 @@ SCHEMAS = {'add_columns': [('row_id', 'bigint'), ('ac_rollsum', 'bigint'), ('r_r
                    ('ts_delta_ewma_10', 'bigint'),
                    ('ts_delta_ewma_20', 'bigint'),
                    ('ts_delta_ewma_50', 'bigint')],
- 'ewma_weights': [('row_id_e', 'bigint'),
-                  ('ts_delta_ewma_01', 'bigint'),
-                  ('ts_delta_ewma_05', 'bigint'),
-                  ('ts_delta_ewma_10', 'bigint'),
-                  ('ts_delta_ewma_20', 'bigint'),
-                  ('ts_delta_ewma_50', 'bigint')],
  'export_query': [('row_id', 'bigint'), ('ac_cumsum', 'bigint'), ('r_cumcnt', 'bigint')],
  'factorization_train': [('id', 'bigint'), ('rank', 'int')],
  'feature_importance': [('feature', 'string'), ('importance', 'double'), ('cum_share', 'double')],
- 'feature_join': [('row_id', 'bigint'),
-                  ('part', 'bigint'),
-                  ('question_id_correct_pct', 'bigint'),
-                  ('ts_delta_rollavg_00060', 'bigint'),
-                  ('r_rollcnt_01440', 'bigint'),
-                  ('ac_cumsum_pct_top_cid_42', 'bigint'),
-                  ('ts_delta_ewma_10', 'bigint')],
  'feature_registry': [('row_id', 'bigint'),
                       ('timestamp', 'bigint'),
                       ('part', 'bigint'),
@@ -189,7 +176,6 @@ SCHEMAS = {'add_columns': [('row_id', 'bigint'), ('ac_rollsum', 'bigint'), ('r_r
               ('answered_correctly', 'bigint'),
               ('prior_question_elapsed_time', 'double'),
               ('prior_question_had_explanation', 'boolean')],
- 'load_json_lines': [('ql_id', 'bigint'), ('tag_000', 'int'), ('tag_009', 'int'), ('tag_020', 'int')],
  'log_features': [('row_id', 'bigint'), ('timestamp_log', 'double'), ('r_cumcnt_log', 'double')],
  'log_odds': [('row_id', 'bigint'), ('ac_cumsum_log_odds', 'double')],
  'logloss_error': [('split', 'string'), ('logloss', 'double'), ('error', 'double'), ('n', 'bigint')],
@@ -200,48 +186,6 @@ SCHEMAS = {'add_columns': [('row_id', 'bigint'), ('ac_rollsum', 'bigint'), ('r_r
                 ('task_container_id_min', 'bigint')],
  'merge_max_container': [('row_id', 'bigint'), ('task_container_id_max', 'bigint')],
  'min_history_filter': [('row_id', 'bigint'), ('user_id', 'bigint')],
- 'one_hot_join': [('row_id', 'bigint'), ('tag_005', 'int'), ('tag_020', 'int'), ('part_3', 'int')],
- 'one_hots': [('ql_id', 'bigint'),
-              ('tag_000', 'int'),
-              ('tag_001', 'int'),
-              ('tag_002', 'int'),
-              ('tag_003', 'int'),
-              ('tag_004', 'int'),
-              ('tag_005', 'int'),
-              ('tag_006', 'int'),
-              ('tag_007', 'int'),
-              ('tag_008', 'int'),
-              ('tag_009', 'int'),
-              ('tag_010', 'int'),
-              ('tag_011', 'int'),
-              ('tag_012', 'int'),
-              ('tag_013', 'int'),
-              ('tag_014', 'int'),
-              ('tag_015', 'int'),
-              ('tag_016', 'int'),
-              ('tag_017', 'int'),
-              ('tag_018', 'int'),
-              ('tag_019', 'int'),
-              ('tag_020', 'int'),
-              ('tag_021', 'int'),
-              ('tag_022', 'int'),
-              ('tag_023', 'int'),
-              ('tag_024', 'int'),
-              ('tag_025', 'int'),
-              ('tag_026', 'int'),
-              ('tag_027', 'int'),
-              ('tag_028', 'int'),
-              ('tag_029', 'int'),
-              ('tag_030', 'int'),
-              ('tag_031', 'int'),
-              ('tag_032', 'int'),
-              ('part_1', 'int'),
-              ('part_2', 'int'),
-              ('part_3', 'int'),
-              ('part_4', 'int'),
-              ('part_5', 'int'),
-              ('part_6', 'int'),
-              ('part_7', 'int')],
  'pad_sequences_first': [('user_id', 'bigint'), ('content_id', 'string'), ('answered_correctly', 'string')],
  'pad_sequences_last': [('user_id', 'bigint'), ('content_id', 'string'), ('answered_correctly', 'string')],
  'padded_tags': [('question_id', 'bigint'),
