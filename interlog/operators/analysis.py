@@ -94,13 +94,26 @@ def roc_auc(df: DataFrame, label: str, score: str, chunk_size: float = 1.0) -> D
     return tot.select(F.try_divide(F.col("_u"), F.col("n_pos") * F.col("n_neg")).alias("auc"), "n_pos", "n_neg")
 
 
-def logloss_error(df: DataFrame, label: str, prob: str, by: str = "split", eps: float = 1e-15) -> DataFrame:
+def logloss_error(df: DataFrame, label: str, prob: str, by: str | list[str] = "split", eps: float = 1e-15) -> DataFrame:
     """Log loss (probabilities clipped to [eps, 1 - eps]) and 0.5-threshold error, one row per ``by``."""
+    by = [by] if isinstance(by, str) else by
     p = F.least(F.greatest(F.col(prob).cast("double"), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label).cast("double")
     ll = -(y * F.log(p) + (1 - y) * F.log(1 - p))
     err = ((F.col(prob) > 0.5).cast("double") != y).cast("double")
-    return df.groupBy(by).agg(F.avg(ll).alias("logloss"), F.avg(err).alias("error"), F.count("*").alias("n"))
+    return df.groupBy(*by).agg(F.avg(ll).alias("logloss"), F.avg(err).alias("error"), F.count("*").alias("n"))
+
+
+def metrics_long(wide: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
+    """(keys, metric, result): a row for each metric, as evaluation logs hold them. Missing results give no row."""
+    results = wide.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics])
+    return results.unpivot(keys, metrics, "metric", "result").where("result is not null")
+
+
+def metrics_wide(long: DataFrame, keys: list[str], metrics: list[str], name: str = "metric", value: str = "result") -> DataFrame:
+    """(keys, a column for each of ``metrics``): the last form of an evaluation log. The metrics are given, so no pass
+    over the rows looks for them; a metric that a key lacks is null. Of repeated results the largest stays."""
+    return long.groupBy(*keys).pivot(name, metrics).agg(F.max(value))
 
 
 def cumulative_share(df: DataFrame, value: str, key: str) -> DataFrame:
