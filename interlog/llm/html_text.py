@@ -4,7 +4,9 @@ The page is cut into blocks at block-level tags. Whole containers that never hol
 footers, sidebars, notices, adverts, forms, reader comments, ...) are known by tag, role or class and left out.
 First pass: link density, length and stop-word density decide a block, or leave it open. Second pass: open
 blocks take the label of their nearest decided neighbours, headings that of what follows. Where the page marks
-its article, blocks outside are not text and a block inside is only left out for its links.
+its article, blocks outside are not text and a block inside is only left out for its links. Where the only marked article
+lies in a form or in a container with a layout name such as "with-sidebar", that container is not left out around it;
+one that holds reader comments, teasers or adverts always is, and so is an article that is itself a reader comment.
 
 Defined results: null, empty or text-free HTML gives ''; very long pages are read whole; repeated rows are
 extracted alike; an empty table gives no rows. Only the named columns are read.
@@ -44,7 +46,12 @@ LEFT_OUT_NAMES = frozenset("""ad ads adv advert adverts advertisement advertisin
     consent cookie cookies copyright disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices
     overlay pager pagination paywall popup promo promoted promotion related replies reply respond share sharing sidebar
     signup skip social sponsor sponsored subscribe tags teaser toolbar topbar widget""".split())
+#: names that leave a container out even where the page's only marked article lies in it
+NEVER_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising comment comments disqus promo promoted promotion
+    related replies reply respond sponsor sponsored teaser""".split())
 ARTICLES = frozenset("article main".split())
+ARTICLE_TAG = re.compile(r"<(?:article|main)\b", re.I)
+COMMENT_NAME = re.compile(r"(?:user[-_]?|reader[-_]?)?(?:comment|reply)(?:[-_]?(?:item|body|[0-9]+))?")
 # Frequent function words of the languages that pages come in.
 STOP_WORDS = frozenset("""a an and are as at be but by for from had has have he her his in is it its not of on or she that
     the their they this to was were which will with you
@@ -55,6 +62,7 @@ STOP_WORDS = frozenset("""a an and are as at be but by for from had has have he
 LINKS_MOST = 0.5
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.30
+SPOKEN = 0.04                    # share of stop words from which a page's language is one of theirs
 
 
 class Block:
@@ -65,29 +73,36 @@ class Block:
         self.good: bool | None = None
 
 
-def _named_out(tag: str, attributes: str) -> bool:
+def _named_out(tag: str, attributes: str) -> int:
+    """0: not left out by its attributes; 1: left out unless it holds the page's only article; 2: left out."""
+    found = 0
     for name, *values in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name == "role" and value in LEFT_OUT_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "main", "article") and any(
-                w in LEFT_OUT_NAMES for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", "".join(values)).lower())):
-            return True
-    return False
-
-
-def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order, without the containers that are left out."""
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return 2
+        if name == "style" and re.search(r"display\s*:\s*none", value.lower()):
+            return 2
+        if name == "role" and value.lower() in LEFT_OUT_ROLES:
+            found = max(found, 1 if value.lower() == "form" else 2)
+        if name in ("class", "id") and tag == "article":
+            if any(COMMENT_NAME.fullmatch(w) for w in value.lower().split()):
+                return 2
+        elif name in ("class", "id") and tag not in ("html", "body", "main"):
+            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
+            found = max(found, 2 if words & NEVER_NAMES else 1 if words & LEFT_OUT_NAMES else 0)
+    return found
+
+
+def blocks(page: str, around: bool = False) -> list[Block]:
+    """The page's text blocks in order, without the containers that are left out; with ``around`` an article is read
+    in a form or a container with a layout name as well."""
     found: list[Block] = []
     parts: list[str] = []
     links: list[str] = []
-    stack: list[tuple[str, bool]] = []      # open elements and whether each is left out
+    # open elements, whether each is left out (2: always), and the count of those around an article that is read
+    stack: list[tuple[str, int, int]] = []
     names: Counter[str] = Counter()         # of the open elements
-    out = inside = anchors = breaks = 0
+    out = never = inside = anchors = breaks = 0
     tag, at = "", 0
 
     def close() -> None:
@@ -98,10 +113,11 @@ def blocks(page: str) -> list[Block]:
         parts, links, breaks = [], [], 0
 
     def pop() -> None:
-        nonlocal out, inside, anchors
-        name, was_out = stack.pop()
+        nonlocal out, never, inside, anchors
+        name, was_out, outer = stack.pop()
         names[name] -= 1
-        out -= was_out
+        out += outer - (was_out > 0)
+        never -= was_out > 1
         inside -= name in ARTICLES
         anchors -= name == "a"
 
@@ -133,7 +149,7 @@ def blocks(page: str) -> list[Block]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
-            tag = next((t for t, _ in reversed(stack) if t in BLOCKS), "")
+            tag = next((t for t, *_ in reversed(stack) if t in BLOCKS), "")
             continue
         if name in VOID or m[4].endswith("/"):
             continue
@@ -146,10 +162,14 @@ def blocks(page: str) -> list[Block]:
                     break
                 while len(stack) > k:
                     pop()
-        hidden = name in LEFT_OUT or (name == "header" and not inside) or bool(m[4].strip()) and _named_out(name, m[4])
-        stack.append((name, hidden))
+        hidden = 1 if name == "form" else 2 if name in LEFT_OUT or (name == "header" and not inside) else 0
+        if hidden < 2 and m[4].strip():
+            hidden = max(hidden, _named_out(name, m[4]))
+        outer = out if around and name in ARTICLES and not never and not hidden else 0
+        stack.append((name, hidden, outer))
         names[name] += 1
-        out += hidden
+        out += (hidden > 0) - outer
+        never += hidden > 1
         inside += name in ARTICLES
         anchors += name == "a"
         tag = name if name in BLOCKS else tag
@@ -164,15 +184,19 @@ def blocks(page: str) -> list[Block]:
 def classify(found: list[Block]) -> None:
     """First pass: each block alone. Second pass: open blocks by their nearest decided neighbours."""
     marked = any(b.inside for b in found)
-    for b in found:
-        links, words = b.linked / len(b.text), LETTERS.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    share = [(sum(w in STOP_WORDS for w in words), len(words)) for words in (LETTERS.findall(b.text.lower()) for b in found)]
+    # a page in another language holds none of the stop words, so they say nothing about its blocks
+    spoken = sum(n for n, _ in share) >= SPOKEN * sum(n for _, n in share)
+    for b, (n_stops, n_words) in zip(found, share, strict=True):
+        links, stops = b.linked / len(b.text), n_stops / max(1, n_words)
         if marked:
             b.good = False if not b.inside or links > LINKS_MOST else True if len(b.text) >= SHORT or not b.linked else None
-        elif links > LINKS_MOST or "\N{COPYRIGHT SIGN}" in b.text:
+        elif links > LINKS_MOST or "\N{COPYRIGHT SIGN}" in b.text and len(b.text) < LONG:
             b.good = False
         elif len(b.text) < SHORT:
             b.good = False if b.linked else None
+        elif not spoken:
+            b.good = True if len(b.text) >= LONG else None
         elif stops >= STOP_HIGH or len(b.text) >= LONG and stops >= STOP_LOW:
             b.good = True
         elif stops < STOP_LOW and len(b.text) < LONG:
@@ -196,7 +220,11 @@ def classify(found: list[Block]) -> None:
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    page = page or ""
+    found = blocks(page)
+    if not any(b.inside for b in found) and ARTICLE_TAG.search(page):
+        again = blocks(page, around=True)
+        found = again if any(b.inside for b in again) else found
     classify(found)
     return "\n\n".join(b.text for b in found if b.good)
 
