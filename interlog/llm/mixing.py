@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from interlog.llm.shared import unused
 from interlog.session import cut_lineage
 
 BETWEEN = r"[\x20\x09-\x0D]+"
@@ -125,19 +126,19 @@ def last_taken(copies: DataFrame, budget: float) -> tuple | None:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed rows themselves: a document comes once for each copy the mix takes."""
+    keys = [unused(docs.columns, c) for c in ("_mix_id", "_mix_text", "_mix_source", "_mix_none")]
+    copies, copy = unused(docs.columns, "_mix_copies"), unused(docs.columns, "_mix_copy")
     decided = (queue(docs, id_col, text_col, source_col, **options)
-               .groupBy(*_row_key("doc_id", "text_hash", "source"))
-               .agg(F.sum(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)).alias("_mix_copies"))
-               .where("_mix_copies > 0"))
-    keyed = docs.withColumn("_mix_hash", F.xxhash64(docs[text_col]))
-    keys = ["_mix_id", "_mix_text", "_mix_source", "_mix_none"]
-    keyed = keyed.select(*docs.columns, *_row_key(id_col, "_mix_hash", source_col))
+               .groupBy(*_row_key(F.col("doc_id"), F.col("text_hash"), F.col("source"), keys))
+               .agg(F.sum(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)).alias(copies))
+               .where(F.col(copies) > 0))
+    keyed = docs.select(*[docs[c] for c in docs.columns], *_row_key(docs[id_col], F.xxhash64(docs[text_col]), docs[source_col], keys))
     own = keyed.dropDuplicates(keys)       # identical rows are one document with that many more copies
     return (own.join(decided, keys)
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))).select(*docs.columns))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns))
 
 
-def _row_key(key: str, text_hash: str, source: str) -> list[Column]:
+def _row_key(key: Column, text_hash: Column, source: Column, names: list[str]) -> list[Column]:
     """What tells rows apart, without nulls."""
-    return [F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_mix_id"), F.col(text_hash).alias("_mix_text"),
-            F.coalesce(F.col(source), F.lit("")).alias("_mix_source"), F.col(source).isNull().alias("_mix_none")]
+    parts = [F.coalesce(key.cast("string"), F.lit("")), text_hash, F.coalesce(source, F.lit("")), source.isNull()]
+    return [part.alias(name) for part, name in zip(parts, names, strict=True)]

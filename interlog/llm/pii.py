@@ -8,13 +8,20 @@ document and format, gets the same one: digits are poured into the mention's own
 their script and case, a card number keeps whether its check digit holds, given names keep their gender, and
 the parts of a name are entities of their own, so that a family name alone still refers to the same person.
 Surrogates are checked against each other and against all detected entities: what collides is derived anew
-with the next attempt, on a wider space, until all are distinct.
+with the next attempt, on a wider space, until all are distinct. A name that a mention introduced is also replaced
+where it stands alone in the same text; this looks at the text between the mentions, in one pass and before any
+surrogate is put in, so that no surrogate is taken for a name.
+
+Names are found after a form of address in ``TITLES`` or after a given name in ``GIVEN`` (a fixed list); other names
+("Emma Miller" without a title) and names in capitals are not found. Phone numbers are found in the forms of
+``PATTERNS``: an international prefix, an area code in brackets, three groups, or groups of two.
 
 Only the mentions, keyed by a digest of the text, are joined and grouped; texts without a mention pass
 unchanged, and copies of a text are worked on once.
 
-Defined results: a null or empty text stays as it is; repeated rows get equal texts; columns of other names
-pass through; an empty table gives no rows.
+Defined results: a null or empty text stays as it is; repeated rows get equal texts; other columns pass through,
+whatever their names; very long texts are read whole, in time linear in their mentions (times the text's own names,
+where it has any); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from interlog.llm.shared import unused
 from interlog.session import cut_lineage
 
 # Forms of address and frequent given names by gender and script.
@@ -49,8 +57,10 @@ LETTERS = {"cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
 
 _B, _E = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_NAME = r"\p{Lu}[\p{L}'’\-]+"
+# a genitive's 's and a closing quote or hyphen are no part of the name
+_NAME = r"\p{Lu}(?=[\p{L}'’\-])\p{L}*+(?:(?:-|['’](?!s(?!\p{L})))\p{L}++){0,4}+"
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + ")"
+_NO_TITLE = rf"(?!{_TITLE}{_E})"
 _KNOWN = "(?:" + "|".join(n for g in GIVEN.values() for n in g) + ")"
 #: kind -> pattern, in the order in which they are tried
 PATTERNS = {
@@ -61,8 +71,10 @@ PATTERNS = {
     "ip": r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.[0-9])",
     "ip6": r"(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\p{L}\p{N}:])",
     "card": _B + r"(?:[0-9][ \-]?){12,18}[0-9]" + _E,
-    "phone": _B + r"(?:\+[0-9]{8,15}|(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4})" + _E,
-    "person": _B + rf"(?:{_TITLE}\.? {_NAME}(?: {_NAME})?|{_KNOWN} {_NAME})",
+    "phone": _B + r"(?:\+[0-9]{8,15}|(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}"
+             r"|(?:0[0-9]|\+[0-9]{1,3}[ .\-]?[0-9])(?:[ .\-][0-9]{2}){4}|\+[0-9]{1,3}[ .\-][0-9]{3}(?:[ .\-][0-9]{2}){3}"
+             r"|\+[0-9]{1,3}[ .\-][0-9]{2,4}[ .\-][0-9]{5,8}|0[0-9]{2,4}/[0-9]{5,8})" + _E,
+    "person": _B + rf"(?:{_TITLE}\.? {_NAME}(?: {_NO_TITLE}{_NAME})?|{_KNOWN} {_NO_TITLE}{_NAME})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: words without which no name is detected
@@ -158,11 +170,12 @@ def derived(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     email = F.concat(_masked(F.substring_index(norm, "@", 1), stream), more, F.lit("@"),
                      F.when(sub != "", F.concat(_masked(sub, F.reverse(stream)), F.lit("."))).otherwise(""),
                      F.lit("example."), F.when(top.isin("com", "net", "org"), top).otherwise("com"))
-    private = F.regexp_extract(norm, r"^(10\.|192\.168\.|127\.)", 1)
+    private = F.regexp_extract(norm, r"^(10\.|192\.168\.|127\.|172\.(?:1[6-9]|2[0-9]|3[01])\.)", 1)
+    narrow = private.startswith("192.168.") | private.startswith("172.")
     octets = F.concat_ws(".", b(0) % 223 + 1, b(1), b(2), b(3) % 254 + 1)
-    ip = F.when((private == "192.168.") & (attempt >= 16), F.concat_ws(".", F.lit("10"), b(1), b(2), b(3) % 254 + 1)).when(
-        (private == "192.168.") & (attempt >= 8), F.concat_ws(".", F.lit("172"), b(0) % 16 + 16, b(1), b(3) % 254 + 1)).when(
-        private == "192.168.", F.concat(private, b(1).cast("string"), F.lit("."), (b(2) % 254 + 1).cast("string"))).when(
+    ip = F.when(narrow & (attempt >= 16), F.concat_ws(".", F.lit("10"), b(1), b(2), b(3) % 254 + 1)).when(
+        narrow & (attempt >= 8), F.concat_ws(".", F.lit("172"), b(0) % 16 + 16, b(1), b(3) % 254 + 1)).when(
+        narrow, F.concat(private, b(1).cast("string"), F.lit("."), (b(2) % 254 + 1).cast("string"))).when(
         private != "", F.concat(private, F.concat_ws(".", b(1), b(2), b(3) % 254 + 1))).otherwise(octets)
     kept = F.when(kind == "phone", F.greatest(F.length(norm) - 10, F.lit(0))).when(kind == "card", 1).otherwise(0)
     digits = F.concat(F.substring(norm, F.lit(1), kept), F.substring(_masked(norm, stream), kept + 1, F.length(norm)))
@@ -183,11 +196,11 @@ def derived(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
                                   F.lit(ending)))
 
     for (gender, script), pool in GIVEN.items():
-        name = F.when(attempt == 0, _choice(b(0), pool)).when(attempt == 1, F.concat_ws("-", _choice(b(0), pool), _choice(b(1), pool))).otherwise(
+        name = F.when(attempt == 0, _choice(b(0), pool)).otherwise(
             made(script, ENDINGS.get((gender, script), "")))
         out = out.when(kind == f"given:{gender}:{script}", name)
     for script, pool in FAMILY.items():
-        name = F.when(attempt == 0, _choice(b(0), pool)).when(attempt == 1, F.concat_ws("-", _choice(b(0), pool), _choice(b(1), pool))).otherwise(
+        name = F.when(attempt == 0, _choice(b(0), pool)).otherwise(
             made(script, ""))
         out = out.when(kind == f"family:{script}", name)
     return out
@@ -197,9 +210,9 @@ def surrogates(entities: DataFrame, key: str, attempts: int = 64) -> DataFrame:
     """(type, norm, surrogate): distinct surrogates for distinct entities, none of them a detected entity.
 
     Of the entities that meet on a surrogate the smallest keeps it; the others, and those that meet a detected
-    entity or an earlier surrogate, try again. Each attempt is written, so the next reads a table.
+    entity or an earlier surrogate, try again. What an attempt gives is written, so the next reads tables.
     """
-    space = F.when(F.col("type").startswith("given"), "given").when(F.col("type").startswith("family"), "family").otherwise(F.col("type"))
+    space = F.when(F.col("type").rlike("^(?:given|family)"), "name").otherwise(F.col("type"))
     entities = cut_lineage(entities.select("type", "norm", space.alias("space")).distinct(), "entities")
     real = entities.select("space", F.lower("norm").alias("form"))
     spark = entities.sparkSession
@@ -209,9 +222,9 @@ def surrogates(entities: DataFrame, key: str, attempts: int = 64) -> DataFrame:
         tried = rest.withColumn("surrogate", derived(F.col("type"), F.col("norm"), F.lit(k), key)).withColumn("form", F.lower("surrogate"))
         free = tried.join(real, ["space", "form"], "left_anti").join(taken, ["space", "form"], "left_anti")
         best = free.groupBy("space", "form").agg(F.min(F.struct("norm", "type", "surrogate")).alias("best"))
-        won = best.select("space", "form", "best.type", "best.norm", "best.surrogate")
-        taken = cut_lineage(taken.union(won), "surrogates")
-        rest = cut_lineage(rest.join(taken, ["type", "norm"], "left_anti"), "entities_left")
+        won = cut_lineage(best.select("space", "form", "best.type", "best.norm", "best.surrogate"), "surrogates")
+        taken = taken.union(won)
+        rest = cut_lineage(rest.join(won, ["type", "norm"], "left_anti"), "entities_left")
         if rest.isEmpty():
             return taken.select("type", "norm", "surrogate")
     raise RuntimeError("no distinct surrogates left for some entities")
@@ -239,6 +252,14 @@ def mentions(docs: DataFrame, text_col: str) -> DataFrame:
         "digest", "pos", "part", "p.*")
 
 
+def _names_replaced(text: Column, names: Column) -> Column:
+    """``text`` with each of ``names`` (longest first; name and new), where it stands as a word, replaced: one pass."""
+    pattern = F.concat(F.lit(_B + "(?:"), F.array_join(F.transform(names, lambda p: p["name"]), "|"), F.lit(")" + _E))
+    new = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)),
+                      lambda found: F.filter(names, lambda p: p["name"] == found)[0]["new"])
+    return F.array_join(F.zip_with(F.split(text, pattern, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
 def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with surrogates in the text; ``count_col`` names a column for the number of mentions replaced."""
     parts = cut_lineage(mentions(docs, text_col), "mentions")
@@ -247,21 +268,20 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     put = named.select("digest", "pos", "part", rendered(F.col("type"), F.col("raw"), F.col("surrogate")).alias("new"),
                        F.when(F.col("type").rlike("^(?:given|family)"), F.col("raw")).alias("name"))
     # a text's mentions are gathered beside the text they come from, which is one row as well
-    lists = put.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "new", "name"))).alias("_put"))
-    lists = lists.withColumnRenamed("digest", "_digest")
-    hit = has_mention(F.col(text_col))
+    each = put.groupBy("digest", "pos").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "new"))), lambda p: p["new"]), "").alias("new"),
+        F.collect_list(F.when(F.col("name").isNotNull(), F.struct(-F.length("name"), "name", "new"))).alias("names"))
+    digest, news, alone, gaps, count = (unused(docs.columns, c) for c in ("_digest", "_news", "_alone", "_gaps", "_n"))
+    lists = each.groupBy("digest").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda p: p["new"]).alias(news),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias(alone)).withColumnRenamed("digest", digest)
+    hit = has_mention(docs[text_col])
     names = docs.columns
-    plain = docs.where(~hit).select(*names, F.lit(0).cast("long").alias("_n"))
-    gaps = F.split(F.col(text_col), PATTERN, -1)
-    with_gaps = docs.where(hit).withColumn("_gaps", gaps).withColumn("_digest", F.md5(text_col)).drop(text_col)
-    joined = with_gaps.join(lists, "_digest")
-    n = F.size("_gaps") - 1
-    words = F.transform(F.sequence(F.lit(0), n), lambda i: F.concat(
-        F.col("_gaps")[i], F.array_join(F.transform(F.filter("_put", lambda p: p["pos"] == i), lambda p: p["new"]), "")))
-    # a name that a mention introduced also stands alone further on; no surrogate equals a detected name
-    alone = F.array_distinct(F.transform(F.filter("_put", lambda p: p["name"].isNotNull()),
-                                         lambda p: F.struct(p["name"].alias("name"), p["new"].alias("new"))))
-    filled = F.aggregate(alone, F.array_join(words, ""), lambda t, p: F.regexp_replace(
-        t, F.concat(F.lit(_B), p["name"], F.lit(_E)), p["new"]))
-    out = plain.union(joined.withColumn(text_col, filled).select(*names, n.cast("long").alias("_n")))
-    return out.withColumnRenamed("_n", count_col) if count_col else out.drop("_n")
+    plain = docs.where(~hit).select(*names, F.lit(0).cast("long").alias(count))
+    others = [docs[c] for c in names if c != text_col]
+    with_gaps = docs.where(hit).select(*others, F.split(docs[text_col], PATTERN, -1).alias(gaps), F.md5(docs[text_col]).alias(digest))
+    rest = F.when(F.size(alone) > 0, F.transform(gaps, lambda g: _names_replaced(g, F.col(alone)))).otherwise(F.col(gaps))
+    filled = F.array_join(F.zip_with(rest, news, lambda g, new: F.concat(g, F.coalesce(new, F.lit("")))), "")
+    full = with_gaps.join(lists, digest).withColumn(text_col, filled).withColumn(count, F.size(gaps).cast("long") - 1)
+    out = plain.union(full.select(*names, count))
+    return out.withColumnRenamed(count, count_col) if count_col else out.drop(count)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from interlog.llm.shared import SPACES, Hashes, slices, utf8, words
+from interlog.llm.shared import SPACES, Hashes, slices, unused, utf8, words
 
 LETTER, UPPER, DIGIT, SPACE, STOP, MARK, WIDE, CONTROL = range(8)
 KINDS = np.full(256, CONTROL, np.uint8)
@@ -232,13 +232,14 @@ def fit(x: np.ndarray, length: np.ndarray, per_doc: np.ndarray, good: np.ndarray
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           max_train: int = 4000) -> Model | float:
     """A model from labelled documents, or the constant score where the labels are not of both kinds."""
+    key = unused([*docs.columns, *labels.columns], "_id")
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_good")))
+             .groupBy(F.col(id_col).alias(key)).agg(F.min(label_col).cast("double").alias("good")))
     n = known.count()
-    part = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < (max_train / max(n, 1)) * 1_000_000
+    part = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < (max_train / max(n, 1)) * 1_000_000
     # the labels of the sample are at most about max_train rows, so they go to every task
-    sample = docs.join(F.broadcast(known.where(part)), docs[id_col] == F.col("_id")).select(
-        F.col("_good").cast("double").alias("good"), docs[text_col].alias("text"))
+    slim = docs.select(F.col(id_col).alias(key), F.col(text_col).alias("text"))
+    sample = slim.join(F.broadcast(known.where(part)), key).select("good", "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -21,6 +21,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores put before it until it differs from all ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(col):
     """A-Z in lower case; other letters stay. Pure ASCII text takes the faster way."""
     return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))

@@ -171,6 +171,30 @@ def test_license_windows_equal_brute_force(spark):
     assert seen == {"aa", "bb"}
 
 
+def test_html_containers_around_the_article():
+    text = "The article has a paragraph that is long enough to be taken for one by its length alone."
+    article = f"<article><p>{text}</p></article>"
+    for page in (f"<form>{article}</form>", f"<div class='with-sidebar'><nav>menu</nav>{article}<div class=sidebar>x</div></div>",
+                 f"<form><input>{article}<p>Log in</p></form>", f"<div class='contentSidebarWrap'><main>{article}</main></div>",
+                 f"<main>{article}<article class='comment even'>{text} B</article></main>",
+                 f"<main>{article}<section class=comments><article>{text} B</article></section></main>",
+                 f"<form>{article}<div class=comments><article>{text} B</article></div></form>",
+                 f"<article class='post comments-open'><div class=ad>{text} B</div><p>{text}</p></article>",
+                 f"{article}<div class=related>{article}</div><form><article>{text} B</article></form>"):
+        assert html_text.main_text(page) == text, page
+    for page in (f"<nav>{article}</nav>", f"<aside>{article}</aside>", f"<div hidden>{article}</div>", f"<div class=teaser>{article}</div>",
+                 f"<form><p>{text}</p></form>", f"<form><div class=reply>{article}</div></form>"):
+        assert html_text.main_text(page) == "", page
+
+
+def test_html_unmarked_pages():
+    long = "It is the duty of the author to say that this work, \N{COPYRIGHT SIGN} of its writers, has been read by many and that they liked it. " * 2
+    assert html_text.main_text(f"<p>{long}</p><p>\N{COPYRIGHT SIGN} 2020 by us</p>") == long.strip()
+    other = "Tämä kappale kertoo pitkän tarinan metsästä järven rannalla sekä sen vanhoista asukkaista, joita kukaan ei enää muista. " * 2
+    brief = "Toinen kappale jatkaa samaa tarinaa hieman lyhyemmin mutta yhtä tarkasti kuin ensimmäinen."
+    assert html_text.main_text(f"<p>{other}</p><p>{brief}</p><p>{other}</p><a href=x>Etusivu</a>") == "\n\n".join([other.strip(), brief, other.strip()])
+
+
 def test_pii_private_addresses_do_not_run_out(spark):
     tried = spark.range(100_000).selectExpr("concat('192.168.', id DIV 2 DIV 254, '.', id DIV 2 % 254 + 1) AS norm", "int(id % 2) AS late")
     for first, form, most in ((0, r"192\.168\.", 0), (8, r"172\.(1[6-9]|2[0-9]|3[01])\.", 65_024), (16, r"10\.", 65_024)):
@@ -195,6 +219,53 @@ def test_pii_surrogates_keep_kind_format_and_identity(spark):
     assert re.fullmatch(r"[А-Я][а-я]+ [А-Я][а-я]+", got[5]) and re.fullmatch(r'token = "[0-9a-f]{40}"', got[9])
 
 
+def test_pii_names_agree_in_all_texts_and_round_trip(spark):
+    """Texts drawn from known parts: surrogates put back give the original texts; no pool name is left to draw from."""
+    family = pii.FAMILY["latin"]
+    texts = ["; ".join(f"Mr. {n}" for n in family)] + [f"Mr. {n} alone" for n in family]
+    draw = random.Random(3)
+    parts = ["Mr. {f}", "Mrs. {g} {f}", "{f}", "{f}'s house", "{g}", "{f}-{f}", "Dr. {f}-{f}", "{f}5 a{f}", "a.{f}@mail.org", "+33 6 12 34 56 7{d},",
+             "06 12 34 56 7{d},", "+34 612 34 56 7{d},", "+49 30 123456{d},", "030/123456{d},", "172.16.4.{d}", "192.168.0.{d}", "plain words,", "\n"]
+    for _ in range(150):
+        texts.append(" ".join(p.format(f=draw.choice(family), g=draw.choice(["Mary", "Susan"]), d=draw.randrange(10))
+                              for p in draw.choices(parts, k=draw.randrange(12))))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.replace_entities(frame, "k").collect()}
+    joint = [m.split(" ")[1] for m in got[0].split("; ")]
+    assert joint == [got[i + 1].split(" ")[1] for i in range(16)] and len(set(joint)) == 16 and not set(joint) & set(family)
+    parted = pii.mentions(frame, "text").where("type is not null").select("type", "norm", "raw").distinct()
+    known = pii.surrogates(parted.select("type", "norm"), "k")
+    pairs = parted.join(known, ["type", "norm"]).select("type", "raw", pii.rendered(F.col("type"), F.col("raw"), F.col("surrogate")).alias("new")).collect()
+    back = {r.new: r.raw for r in pairs}
+    assert len(back) == len({(r.new, r.raw) for r in pairs})
+    inverse = re.compile(r"(?<![^\W_])(?:" + "|".join(re.escape(n) for n in sorted(back, key=len, reverse=True)) + r")(?![^\W\d_])")
+    for i, text in enumerate(texts):
+        assert inverse.sub(lambda m: back[m[0]], got[i]) == text
+        introduced = {w for m in re.finditer(r"(?:Mr|Mrs|Dr)\. (?:(Mary|Susan) )?([\w-]+)", text) for w in m.groups() if w}
+        introduced |= {w for m in re.finditer(r"(?<!\w)(Mary|Susan) (?!Mrs?\b|Dr\b)([A-Z]\w*(?:-[A-Z]\w*)*)", text) for w in m.groups()}
+        for w in introduced - {"Mr", "Mrs", "Dr"}:
+            assert not re.search(rf"(?<![^\W_]){w}(?![^\W_])", got[i])
+        assert not re.search(r"12 34 56|123456|@mail\.org", got[i])
+    for r in pairs:
+        if r.raw.startswith(("172.", "192.")):
+            assert re.match(r"192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.", r.new)
+
+
+def test_columns_with_inner_names_come_back(spark):
+    rows = [(1, "Mr. Miller met Miller. Miller left", "s"), (2, "plain words here", "t"), (3, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for c in ("_digest", "_n", "_gaps", "_put", "_news", "_alone", "_id", "_good", "good", "key", "digest", "_mix_copies", "_mix_copy", "_mix_hash", "_mix_id"):
+        frame = frame.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    got = {r.doc_id: r for r in pii.replace_entities(frame, "k", count_col="found").collect()}
+    assert [got[i].found for i in (1, 2, 3)] == [1, 0, 0] and "Miller" not in got[1].text and got[3].text is None
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = quality.train(frame, labels)
+    scored = {r.doc_id: r for r in quality.score(frame, model, columns=frame.columns).collect()}
+    mixed = {r.doc_id: r for r in mixing.mix(frame, rows=10).collect()}
+    for out in (got, scored, mixed):
+        assert out and all(r[c] == f"{c}{i}" for i, r in out.items() for c in frame.columns[3:])
+
+
 def test_pii_surrogates_are_distinct(spark):
     names = spark.range(400).select(F.lit("family:latin").alias("type"), F.concat(F.lit("name"), "id").alias("norm"))
     got = pii.surrogates(names, "k").collect()
