@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from interlog.operators.containers import is_q, TC
-from interlog.operators.prefix import dense_rank0, prior_totals
+from interlog.operators.ranges import positions, running_totals
 
 
 def content_user_correlation(train: DataFrame) -> DataFrame:
@@ -28,19 +28,18 @@ def content_user_correlation(train: DataFrame) -> DataFrame:
                      F.stddev_pop("rate_uc") * F.stddev_pop("rate_u")).alias("corr"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], chunk_size: float = 1.0) -> list[float]:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
     """Linear-interpolation quantiles (as pandas / R-7) without gathering the column anywhere.
 
-    Values are counted per distinct value (partial aggregation), positions come from the chunked prefix
-    count, and only the <= 2 * len(probs) rows at the needed positions reach the driver."""
-    v = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"), F.lit(0).alias("_k"))
+    Values are counted per distinct value (partial aggregation), positions come from running totals over
+    ranges, and only the <= 2 * len(probs) rows at the needed positions reach the driver."""
+    v = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"))
     n = v.count()
     if n == 0:
         return []
     pos = sorted({p for q in probs for p in (math.floor((n - 1) * q), min(math.floor((n - 1) * q) + 1, n - 1))})
-    counts = v.groupBy("_k", "_x").agg(F.count("*").alias("_c"))
-    before = prior_totals(counts.withColumn("_one", F.col("_c")), ["_k"], "_x", {"_b": F.col("_one")}, chunk_size)
-    hit = counts.join(before, ["_k", "_x"]).where(
+    counts = v.groupBy("_x").agg(F.count("*").alias("_c"))
+    hit = running_totals(counts, ["_x"], {"_b": F.col("_c")}).where(
         F.exists(F.array(*[F.lit(p) for p in pos]), lambda p: (F.col("_b") <= p) & (p < F.col("_b") + F.col("_c"))))
     rows = sorted((r["_b"], r["_c"], r["_x"]) for r in hit.collect())
 
@@ -75,20 +74,19 @@ def split_counts(df: DataFrame, col: str = "fold") -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n"))
 
 
-def vocabulary(df: DataFrame, col: str, chunk_size: float = 1 << 20) -> DataFrame:
-    """Sorted distinct values with 0-based codes."""
-    return dense_rank0(df.select(F.lit(0).alias("_k"), col), ["_k"], col, "code", chunk_size).drop("_k")
+def vocabulary(df: DataFrame, col: str, name: str = "code") -> DataFrame:
+    """Sorted distinct values with 0-based codes; null is none."""
+    return positions(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], name)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, chunk_size: float = 1.0) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact ROC AUC (ties count one half): sum over scores of positives x (negatives below + half the
     negatives at that score), over positives x negatives. Counts are per distinct score; the negatives
-    below come from the chunked prefix."""
-    s = df.select(F.col(score).cast("double").alias("_s"), F.col(label).alias("_y"), F.lit(0).alias("_k"))
-    g = s.groupBy("_k", "_s").agg(F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("_p"),
-                                  F.sum(F.when(F.col("_y") == 1, 0).otherwise(1)).alias("_n"))
-    below = prior_totals(g, ["_k"], "_s", {"_nb": F.col("_n")}, chunk_size)
-    j = g.join(below, ["_k", "_s"])
+    below come from running totals over ranges of the score. Rows without a score are left out."""
+    s = df.select(F.col(score).cast("double").alias("_s"), F.col(label).alias("_y")).where("_s is not null")
+    g = s.groupBy("_s").agg(F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("_p"),
+                            F.sum(F.when(F.col("_y") == 1, 0).otherwise(1)).alias("_n"))
+    j = running_totals(g, ["_s"], {"_nb": F.col("_n")})
     tot = j.agg(F.sum(F.col("_p") * (F.col("_nb") + F.col("_n") * 0.5)).alias("_u"),
                 F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
     return tot.select(F.try_divide(F.col("_u"), F.col("n_pos") * F.col("n_neg")).alias("auc"), "n_pos", "n_neg")
@@ -117,11 +115,10 @@ def metrics_wide(long: DataFrame, keys: list[str], metrics: list[str], name: str
 
 
 def cumulative_share(df: DataFrame, value: str, key: str) -> DataFrame:
-    """Share of the total covered by the rows sorted by ``value`` descending (ties by key).
-    Intended for small tables (feature importances, per-content totals), so one ordered window is fine."""
-    w = Window.orderBy(F.col(value).desc(), F.col(key)).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy()
-    return df.select(key, value, (F.sum(value).over(w) / F.sum(value).over(total)).alias("cum_share"))
+    """Share of the total covered by the rows sorted by ``value`` descending (ties by key); null where the total is 0."""
+    total = df.agg(F.sum(value)).first()[0]
+    before = running_totals(df.select(key, value), [F.col(value).desc(), F.col(key)], {"_before": F.col(value)})
+    return before.select(key, value, F.try_divide(F.col("_before") + F.col(value), F.lit(total)).alias("cum_share"))
 
 
 def canonical_sort(df: DataFrame) -> DataFrame:

@@ -7,18 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from interlog.operators.prefix import dense_rank0
+from interlog.operators.analysis import vocabulary
 
 UNSEEN = -1
 
 
-def encode_ids(train: DataFrame, valid: DataFrame, cols: Sequence[str],
-               chunk_size: float = 1 << 20) -> tuple[DataFrame, DataFrame]:
+def encode_ids(train: DataFrame, valid: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Codes = rank of the value among the sorted distinct training values; unseen -> -1.
-    Codes come from the chunked distinct-rank, so no single task sorts the whole vocabulary."""
+    Codes are positions over ranges of the values, so no single task sorts the whole vocabulary."""
     enc_t, enc_v = train, valid
     for c in cols:
-        codes = dense_rank0(train.select(F.lit(0).alias("_k"), c), ["_k"], c, f"{c}_code", chunk_size).drop("_k")
+        codes = vocabulary(train, c, f"{c}_code")
         enc_t = enc_t.join(codes, c, "left")
         enc_v = enc_v.join(codes, c, "left").withColumn(
             f"{c}_code", F.coalesce(F.col(f"{c}_code"), F.lit(UNSEEN).cast("long")))

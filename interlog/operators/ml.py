@@ -62,4 +62,5 @@ def feature_importance(spark, model, cols: Sequence[str], min_importance: float
     stage = model.stages[-1]
     imp = stage.featureImportances.toArray().tolist()
     df = spark.createDataFrame(list(zip(cols, [float(x) for x in imp])), "feature string, importance double")
-    return cumulative_share(df.where(F.col("importance") > min_importance), "importance", "feature")
+    shares = cumulative_share(df.where(F.col("importance") > min_importance), "importance", "feature")
+    return shares.orderBy(F.col("importance").desc(), "feature")

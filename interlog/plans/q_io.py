@@ -102,6 +102,27 @@ def q_shard_export(spark, sf):
     return files.groupBy("split").agg(F.sum("rows").alias("n_rows"), (F.max("rows") <= 1000).alias("within_limit"))
 
 
+@register("exact_shards", FOLDS + """
+, placed AS (SELECT CASE WHEN fold IN (0, 1) THEN 'valid' ELSE 'train' END AS split, row_id,
+                    ROW_NUMBER() OVER (PARTITION BY fold IN (0, 1) IS TRUE ORDER BY row_id) - 1 AS place
+             FROM ftrain WHERE content_type_id = 0)
+SELECT split, CAST(place // 1000 AS BIGINT) AS shard, COUNT(*) AS n_rows, COUNT(*) AS named_rows, CAST(1 AS BIGINT) AS files,
+       CAST(SUM(row_id) AS BIGINT) AS row_ids, MIN(row_id) AS first_row, MAX(row_id) AS last_row
+FROM placed GROUP BY 1, 2""")
+def q_exact_shards(spark, sf):
+    """The manifest's shards with what their files hold: rows, the sum and bounds of their ids."""
+    df = (T(spark, sf).ftrain().where(is_q())
+          .withColumn("split", F.when(F.col("fold").isin(0, 1), "valid").otherwise("train"))
+          .select("row_id", "user_id", "content_id", "answered_correctly", "split"))
+    path = scratch(spark, "exact-shards")
+    manifest = io.exact_shards(df, path, "split", 1000, ["row_id"])
+    held = spark.read.parquet(path).groupBy("split", F.col("shard").alias("folder")).agg(
+        F.sum("row_id").alias("row_ids"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"))
+    named = F.regexp_extract("folder", "-([0-9]+)rows", 1).cast("long").alias("named_rows")
+    return manifest.join(held, ["split", "folder"]).select("split", "shard", F.col("rows").alias("n_rows"), named, "files",
+                                                           "row_ids", "first_row", "last_row")
+
+
 _TP = list(fixture.TABLES)
 
 

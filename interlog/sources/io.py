@@ -100,6 +100,34 @@ def shard_export(df: DataFrame, path: str, split: str, rows_per_file: int) -> Da
     return back.groupBy(split, F.input_file_name().alias("file")).agg(F.count("*").alias("rows"))
 
 
+def exact_shards(df: DataFrame, path: str, split: str, size: int, order: Sequence[str]) -> DataFrame:
+    """Parquet shards of exactly ``size`` rows in the order ``order`` within each split; a split's last holds the rest.
+
+    A row's shard is its position in its split divided by ``size``. One task writes a shard as one file in a folder that
+    names its number and rows (``shard=00012-1000rows``); ``_manifest`` beside them lists (split, shard, rows, folder) and
+    is returned. ``order`` must tell the rows of a split apart; a null split is a split like others.
+    """
+    from interlog.operators.ranges import positions
+    from interlog.session import sized_broadcast
+
+    spark = df.sparkSession
+    placed = positions(df, [split, *order], "_at")
+    ends = placed.groupBy(F.col(split).alias("_split")).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    at = placed.join(sized_broadcast(ends), placed[split].eqNullSafe(F.col("_split")))
+    number = F.floor((F.col("_at") - F.col("_first")) / size).cast("long")
+    rows = F.least(F.lit(size).cast("long"), F.col("_rows") - number * size)
+    folder = F.format_string("%05d-%drows", number, rows)
+    shards = at.withColumn("shard", folder).select(*df.columns, "shard").repartition(split, "shard")
+    shards.sortWithinPartitions(split, "shard", *order).write.mode("overwrite").partitionBy(split, "shard").parquet(path)
+    back = spark.read.schema(shards.schema).parquet(path)
+    files = back.groupBy(split, F.col("shard").alias("folder"), F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    manifest = files.groupBy(split, "folder").agg(F.sum("n").alias("rows"), F.count("*").alias("files"))
+    manifest.select(split, F.substring_index("folder", "-", 1).cast("long").alias("shard"), "rows", "files", "folder").write.mode(
+        "overwrite").json(path.rstrip("/") + "/_manifest")
+    return spark.read.schema(f"{split} {df.schema[split].dataType.simpleString()}, shard long, rows long, files long, folder string").json(
+        path.rstrip("/") + "/_manifest")
+
+
 def table_profile(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """Per table: column count and row count (one aggregate per table, bounded by the table list)."""
     rows = []

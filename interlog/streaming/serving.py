@@ -247,7 +247,7 @@ def prediction_scorecard(pred: DataFrame, truth: DataFrame, score: str = "answer
     from interlog.operators.analysis import roc_auc
     j = pred.select("row_id", F.col(score).alias("y_pred")).join(
         truth.select("row_id", F.col("answered_correctly").alias("y_true")), "row_id")
-    return roc_auc(j, "y_true", "y_pred", chunk_size=0.01)
+    return roc_auc(j, "y_true", "y_pred")
 
 
 def foreach_batch_scoring(stream: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
