@@ -14,7 +14,8 @@ CORE = ["train_transforms", "content_dimension", "asof_user_content_part", "asof
         "user_sequences", "embedding_logit", "roc_auc", "quantile_histogram", "upsert_user_state",
         "attach_delayed_answers", "load_csv", "typed_snapshot", "fold_export", "shard_export", "table_profile",
         "export_query", "streaming_asof_features", "content_user_correlation", "top_k",
-        "one_hots", "one_hot_join", "load_json_lines", "ewma_weights", "feature_join", "upsert_user_tag_state", "metrics_wide"]
+        "one_hots", "one_hot_join", "load_json_lines", "ewma_weights", "feature_join", "upsert_user_tag_state", "metrics_wide",
+        "exact_shards", "rolling_custom_stats", "cumulative_share", "vocabulary", "encode_ids", "prediction_scorecard"]
 
 
 def queries():
@@ -55,7 +56,8 @@ def test_every_query_has_an_oracle_or_is_listed():
 
 #: queries whose SQL names its types itself; the others' are recorded in plans/schemas.py
 OWN_TYPES = {"one_hots", "one_hot_join", "load_json_lines", "ewma_weights", "feature_join", "stream_attach_delayed_answers",
-             "streaming_asof_families", "upsert_user_content_state", "upsert_user_tag_state", "upsert_question_totals", "metrics_wide"}
+             "streaming_asof_families", "upsert_user_content_state", "upsert_user_tag_state", "upsert_question_totals", "metrics_wide",
+             "exact_shards", "rolling_custom_stats"}
 
 
 def test_oracles_are_typed():
