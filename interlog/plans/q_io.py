@@ -201,6 +201,17 @@ def q_als(spark, sf):
         items.select(F.lit("content").alias("side"), "id", text))
 
 
+@register("logistic_factorization")
+def q_logistic(spark, sf):
+    """The same answers under the logistic loss, with biases."""
+    from interlog.operators.sequence import latest_per_user_content
+    df = latest_per_user_content(T(spark, sf).train_base().where(is_q()))
+    users, items = ml.logistic_factorization_train(df, rank=8, rounds=8)
+    text = F.array_join(F.transform("vector", lambda x: F.round(x, 4).cast("string")), " ").alias("vector")
+    both = users.select(F.lit("user").alias("side"), "*").unionByName(items.select(F.lit("content").alias("side"), "*"))
+    return both.select("side", "id", text, F.round("bias", 4).alias("bias"))
+
+
 @register("feature_importance")
 def q_importance(spark, sf):
     model, _ = ml.gbt_train_score(_model_frame(spark, sf), NUM, max_iter=10, max_depth=4)

@@ -9,7 +9,7 @@ from __spark_entry__ import queries
 from tests.conftest import SMALL
 
 SKIP = {"streaming_asof_features", "foreach_batch_scoring", "gbt_train_score", "linear_train_score",
-        "factorization_train", "feature_importance", "write_state_snapshot", "load_csv", "load_json_lines",
+        "factorization_train", "logistic_factorization", "feature_importance", "write_state_snapshot", "load_csv", "load_json_lines",
         "export_query", "read_exported", "typed_snapshot", "fold_export", "shard_export", "exact_shards", "read_table",
         "ensure_database", "table_profile", "quantile_histogram", "stream_attach_delayed_answers",
         "streaming_asof_families", "upsert_user_content_state", "upsert_user_tag_state", "upsert_question_totals"}
