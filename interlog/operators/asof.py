@@ -1,7 +1,7 @@
 """As-of ("strictly before this container") statistics per user, content, part, tag and session.
 
-Every PRIOR sum is produced by ``prior_totals`` (two-level chunked prefix sums) and joined back
-on (keys, container), so no task ever holds more than one chunk of one key's containers.
+Every PRIOR sum comes from two-level chunked prefix sums (``with_prior_sums`` on the rows themselves, ``prior_totals``
+as a table by (keys, container)), so no task ever holds more than one chunk of one key's containers.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from interlog.functions.expr import clip_count, round_long, safe_avg, safe_pct
 from interlog.operators.containers import TC, TCQ, is_q
-from interlog.operators.prefix import prior_totals
+from interlog.operators.prefix import prior_totals, several_chunks, with_prior_sums
+from interlog.session import cut_lineage, sized_broadcast
 
 CHUNK_CONTAINERS = 4096
 
@@ -46,13 +47,9 @@ def asof_user_content_part(df: DataFrame, content: DataFrame,
     """PRIOR totals by (user), (user, content_id), (user, part) ordered by container, with pct / avg
     and the clipped response count."""
     base = with_part(df, content)
-    user = prior_totals(base, ["user_id"], TC, _families(""), chunk_size)
-    cont = prior_totals(base, ["user_id", "content_id"], TC,
-                        _families("_content_id", with_lectures=False), chunk_size)
-    part = prior_totals(base, ["user_id", "part"], TC, _families("_part"), chunk_size)
-    out = (base.join(user, ["user_id", TC], "left")
-               .join(cont, ["user_id", "content_id", TC], "left")
-               .join(part, ["user_id", "part", TC], "left"))
+    out = with_prior_sums(base, ["user_id"], TC, [
+        (["user_id"], _families("")), (["user_id", "content_id"], _families("_content_id", with_lectures=False)),
+        (["user_id", "part"], _families("_part"))], chunk_size)
     for s in ("", "_content_id", "_part"):
         out = _ratios(out, s)
     return out.withColumn("r_cumcnt_clip", clip_count("r_cumcnt", 300))
@@ -72,11 +69,10 @@ def asof_tags(train: DataFrame, tag_resp: DataFrame, chunk_size: int = CHUNK_CON
     """PRIOR totals by (user, tag) and (user, part, tag), summed over each row's tags.
     Lecture rows have no tags entry and keep nulls."""
     fam_t, fam_pt = _families("_tags"), _families("_part_tags")
-    t = prior_totals(tag_resp, ["user_id", "tag"], TC, fam_t, chunk_size)
-    pt = prior_totals(tag_resp, ["user_id", "part", "tag"], TC, fam_pt, chunk_size)
     names = [*fam_t, *fam_pt]
-    per_row = (tag_resp.select("row_id", "user_id", "part", "tag", TC)
-               .join(t, ["user_id", "tag", TC]).join(pt, ["user_id", "part", "tag", TC])
+    used = tag_resp.select("row_id", "user_id", "part", "tag", TC, "answered_correctly", "content_type_id", "pqet_current")
+    sums = with_prior_sums(used, ["user_id"], TC, [(["user_id", "tag"], fam_t), (["user_id", "part", "tag"], fam_pt)], chunk_size)
+    per_row = (sums.dropna(subset=["user_id", "part", "tag", TC])
                .groupBy("row_id").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]))
     out = train.join(per_row, "row_id", "left")
     for s in ("_tags", "_part_tags"):
@@ -88,28 +84,19 @@ def asof_session(df: DataFrame, hours: float = 18, chunk_size: int = CHUNK_CONTA
     """Session number = running count of rows whose gap to the previous question container exceeds
     ``hours`` (lecture rows: session 0); PRIOR totals inside (user, session).
 
-    Sessions are contiguous container ranges, so the in-session PRIOR sum is the user PRIOR sum at the
-    container minus the user PRIOR sum at the session's first container. The lecture count is ordered by
-    the full container id; lectures all sit in session 0, so it equals the user lecture count there.
+    Both are prior sums over one row per (user, question container), which then joins the rows once. The lecture
+    count is ordered by the full container id; lectures all sit in session 0, so it equals the user lecture count there.
     """
     gap = int(hours * 3_600_000)
-    q = df.where(is_q())
-    flags = q.groupBy("user_id", TCQ).agg(
-        F.sum(F.when(F.col("ts_delta") > gap, 1).otherwise(0)).cast("long").alias("_flags"))
-    vals = {"_ac": F.col("answered_correctly"), "_r": is_q().cast("long"),
-            "_e": F.col("pqet_current"), "_f": F.col("_flag")}
-    prior = prior_totals(q.withColumn("_flag", F.when(F.col("ts_delta") > gap, 1).otherwise(0)),
-                         ["user_id"], TCQ, vals, chunk_size)
-    cont = (prior.join(flags, ["user_id", TCQ])
-                 .withColumn("session", F.col("_f") + F.col("_flags")))
-    starts = cont.groupBy("user_id", "session").agg(
-        F.min_by(F.struct(F.col("_ac").alias("_ac0"), F.col("_r").alias("_r0"), F.col("_e").alias("_e0")),
-                 F.col(TCQ)).alias("_s"))
-    cont = (cont.join(starts, ["user_id", "session"])
-                .select("user_id", TCQ, "session",
-                        (F.col("_ac") - F.col("_s._ac0")).alias("ac_cumsum_session"),
-                        (F.col("_r") - F.col("_s._r0")).alias("r_cumcnt_session"),
-                        (F.col("_e") - F.col("_s._e0")).alias("pqet_cumsum_session")))
+    per = (df.where(is_q()).dropna(subset=["user_id", TCQ]).groupBy("user_id", TCQ).agg(
+        F.sum(F.when(F.col("ts_delta") > gap, 1).otherwise(0)).cast("long").alias("_flags"), F.sum("answered_correctly").alias("_a"),
+        F.count("*").alias("_n"), F.sum("pqet_current").alias("_p")))
+    several = several_chunks(df.where(is_q()), TCQ, chunk_size)
+    cont = (with_prior_sums(per, ["user_id"], TCQ, [(["user_id"], {"_f": F.col("_flags")})], chunk_size, several)
+            .withColumn("session", F.col("_f") + F.col("_flags")))
+    sums = {"ac_cumsum_session": F.col("_a"), "r_cumcnt_session": F.col("_n"), "pqet_cumsum_session": F.col("_p")}
+    cont = with_prior_sums(cont, ["user_id"], TCQ, [(["user_id", "session"], sums)], chunk_size, several).select(
+        "user_id", TCQ, "session", *sums)
     base = df
     if "l_cumcnt" not in base.columns:
         lec = prior_totals(df, ["user_id"], TC, {"l_cumcnt": F.col("content_type_id")}, chunk_size)
@@ -133,6 +120,7 @@ def asof_upto(df: DataFrame, n: int = 10) -> DataFrame:
     m = (df.where(F.col("r_cumcnt") <= n).groupBy("user_id")
            .agg(F.max("ac_cumsum").alias("_ac_max"), F.max("r_cumcnt").alias("_rc_max"),
                 F.sum("pqet_current").alias("_e_sum"), F.avg("pqet_current").alias("_e_avg")))
+    m = sized_broadcast(cut_lineage(m, "first_answers"))        # a row per user
     early = F.col("r_cumcnt") <= n
     ac = F.when(early, F.col("ac_cumsum")).otherwise(F.col("_ac_max"))
     rc = F.when(early, F.col("r_cumcnt")).otherwise(F.col("_rc_max"))
@@ -155,8 +143,8 @@ def top_content_cumsums(df: DataFrame, content_ids: Sequence[int],
         vals[f"ac_cumsum_top_cid_{cid}"] = ((F.col("answered_correctly") == 1) & (F.col("content_id") == cid)).cast("long")
     for cid in content_ids:
         vals[f"r_cumcnt_top_cid_{cid}"] = (F.col("content_id") == cid).cast("long")
-    prior = prior_totals(q, ["user_id"], TCQ, vals, chunk_size)
-    out = q.select("row_id", "user_id", TCQ).join(prior, ["user_id", TCQ])
+    rows = q.select("row_id", "user_id", TCQ, "answered_correctly", "content_id").dropna(subset=["user_id", TCQ])
+    out = with_prior_sums(rows, ["user_id"], TCQ, [(["user_id"], vals)], chunk_size)
     pcts = [safe_pct(f"ac_cumsum_top_cid_{c}", f"r_cumcnt_top_cid_{c}").alias(f"ac_cumsum_pct_top_cid_{c}")
             for c in content_ids]
     return out.select(F.col("row_id").alias("row_id_tc"), *vals, *pcts)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from interlog.functions.expr import round_long
-from interlog.operators.prefix import dense_rank0, prior_totals
+from interlog.operators.prefix import CHUNK, dense_rank0, several_chunks
 
 TC = "task_container_id"
 TCQ = "task_container_id_q"
 DAY_MS = 86_400_000
+RANK_MS = 128 * DAY_MS
+
+
 def is_q():
     return F.col("content_type_id") == 0
 
@@ -48,14 +51,30 @@ def rerank_containers(df: DataFrame, column: str = TC, excl_lectures: bool = Fal
     return out
 
 
-def rerank_both(df: DataFrame, chunk_ms: int = DAY_MS) -> DataFrame:
+def rerank_both(df: DataFrame, chunk_ms: int = RANK_MS) -> DataFrame:
     """Both re-rankings in one pass: per distinct (user, timestamp), the number of earlier distinct
     timestamps (``task_container_id``) and of earlier question timestamps (``task_container_id_q``,
-    kept on question rows only), from one chunked prefix and one join back."""
-    per = df.groupBy("user_id", "timestamp").agg(F.max(is_q().cast("long")).alias("_hq"))
-    ranks = prior_totals(per, ["user_id"], "timestamp", {TC: F.lit(1).cast("long"), TCQ: F.col("_hq")}, chunk_ms)
-    out = df.drop(TC, TCQ).join(ranks, ["user_id", "timestamp"], "left")
-    return out.withColumn(TCQ, F.when(is_q(), F.col(TCQ)))
+    kept on question rows only), from one move of the rows by (user, chunk of time). A moment counts once: on the
+    first of its rows."""
+    t, chunk = F.col("timestamp"), F.floor(F.col("timestamp") / F.lit(chunk_ms))
+    here = Window.partitionBy("user_id", CHUNK).orderBy("timestamp")
+    rows = df.drop(TC, TCQ).withColumns({CHUNK: chunk, "_q": is_q()}).repartition("user_id", CHUNK)
+    first = ~F.lag("timestamp").over(here).eqNullSafe(t)
+    first_q = ~F.lag("timestamp").over(Window.partitionBy("user_id", CHUNK, "_q").orderBy("timestamp")).eqNullSafe(t)
+    rows = rows.withColumn("_new", first.cast("long")).withColumn("_newq", (is_q() & first_q).cast("long"))
+    before = here.rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({TC: F.coalesce(F.sum("_new").over(before), F.lit(0)), TCQ: F.coalesce(F.sum("_newq").over(before), F.lit(0))})
+    # what a user's earlier chunks hold; nothing where the table lies in one chunk
+    moments = (df.where(several_chunks(df, "timestamp", chunk_ms)).dropna(subset=["user_id", "timestamp"]).withColumn(CHUNK, chunk)
+               .groupBy("user_id", CHUNK, "timestamp").agg(F.max(is_q().cast("long")).alias("_hq")))
+    totals = moments.groupBy("user_id", CHUNK).agg(F.count("*").alias("_all"), F.sum("_hq").alias("_asked"))
+    ahead = Window.partitionBy("user_id").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = totals.select("user_id", CHUNK, F.sum("_all").over(ahead).alias("_all"), F.sum("_asked").over(ahead).alias("_asked"))
+    out = rows.join(earlier, ["user_id", CHUNK], "left")
+    known = t.isNotNull() & F.col("user_id").isNotNull()
+    zero = F.lit(0).cast("long")
+    return out.withColumns({TC: F.when(known, F.col(TC) + F.coalesce("_all", zero)),
+                            TCQ: F.when(known & is_q(), F.col(TCQ) + F.coalesce("_asked", zero))}).select(*rows.drop(CHUNK, "_q", "_new", "_newq").columns)
 
 
 def _question_containers(df: DataFrame, value: str) -> DataFrame:

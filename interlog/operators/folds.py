@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from interlog.operators.containers import is_q, TC
+from interlog.session import sized_broadcast
 
 # Fixed values of the integer generator used for per-user uniforms (Lehmer / MINSTD).
 MODULUS = 2_147_483_647
@@ -59,7 +60,7 @@ def apply_folds(train: DataFrame, folds: DataFrame) -> DataFrame:
     """Rows from the user's fold start onward get the fold; earlier rows keep null."""
     f = folds.select(F.col("user_id_s").alias("user_id"), F.col("fold").alias("_fold"), "task_container_id_min")
     out = train.drop("fold") if "fold" in train.columns else train
-    return (out.join(f, "user_id", "left")
+    return (out.join(sized_broadcast(f), "user_id", "left")            # a row per user
                .withColumn("fold", F.when(F.col(TC) >= F.col("task_container_id_min"), F.col("_fold")))
                .drop("_fold", "task_container_id_min"))
 

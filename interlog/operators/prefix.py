@@ -7,6 +7,8 @@ by the chunk size, not by the size of the hottest key:
 * ``prior_totals``: per (keys, order) the sums over rows with a strictly smaller order value.
   Rows are first pre-aggregated to one row per (keys, order) (partial aggregation before the shuffle),
   then prefix sums are taken inside (keys, chunk) and offset by the totals of earlier chunks.
+* ``with_prior_sums``: the same sums as columns on the rows themselves, for several key lists at once: rows move once,
+  by (leading keys, chunk), and totals of earlier chunks come in as rows of their own instead of joins.
 * ``dense_rank0``: 0-based dense rank = number of distinct smaller order values (same two levels).
 * ``halo_chunks``: for sliding frames that look back at most ``halo`` units, rows are partitioned by
   (keys, chunk) and the tail of each chunk is copied into the next one as read-only context.
@@ -54,6 +56,51 @@ def prior_totals(df: DataFrame, keys: Sequence[str], order: str, values: Mapping
     return _prefix_over_groups(per, keys, order, names, chunk_size)
 
 
+def several_chunks(df: DataFrame, order: str, chunk_size: float) -> Column:
+    """True if the table spans more than one chunk (a scalar subquery): else nothing needs carrying."""
+    chunk = _chunk(order, chunk_size)
+    return df.select((F.max(chunk) > F.min(chunk)).alias("_several")).scalar()
+
+
+def with_prior_sums(df: DataFrame, by: Sequence[str], order: str, families: Sequence[tuple[Sequence[str], Mapping[str, Column]]],
+                    chunk_size: int = 4096, several: Column | None = None) -> DataFrame:
+    """``df`` with ``name`` = the sum of ``value`` over the rows with the same keys and a smaller integer ``order`` (0 if
+    none, null on rows with a null key or order), for each (keys, {name: value}) of ``families``.
+
+    Every key list begins with ``by``. Rows are dealt by (``by``, chunk) once; each key list's totals of earlier chunks
+    enter the chunk as a row before its first, and only where the table spans several chunks (``several``, where that is
+    known from an earlier table; it may be true without need)."""
+    chunk = _chunk(order, chunk_size)
+    several = several_chunks(df, order, chunk_size) if several is None else several
+    width = max(len(values) for _, values in families)
+    rows = df.withColumn(CHUNK, chunk)
+    slots = [f"_c{i}" for i in range(width)]
+    union = rows.withColumn("_family", F.lit(None).cast("int"))
+    types = {}
+    for f, (keys, values) in enumerate(families):
+        known = rows.where(several).dropna(subset=[*keys, order])
+        totals = known.groupBy(*keys, CHUNK).agg(*[F.sum(v).alias(c) for c, v in zip(slots, values.values())])
+        types |= {(f, c): totals.schema[c].dataType for c in slots[:len(values)]}
+        ahead = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.select(*keys, CHUNK, *[F.sum(c).over(ahead).alias(c) for c in slots[:len(values)]],
+                                F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_n")).where("_n > 1").drop("_n")
+        union = union.unionByName(carried.withColumns({order: (F.col(CHUNK) * chunk_size - 1).cast(df.schema[order].dataType),
+                                                       "_family": F.lit(f)}), allowMissingColumns=True)
+    out = union.repartition(*by, CHUNK)
+    real = F.col("_family").isNull()
+    names = []
+    for f, (keys, values) in enumerate(families):
+        before = Window.partitionBy(*dict.fromkeys([*by, CHUNK, *keys])).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+        held = real
+        for k in (*keys, order):
+            held = held & F.col(k).isNotNull()
+        sums = {n: F.sum(F.when(real, v).when(F.col("_family") == f, F.col(c).cast(types[f, c]))).over(before)
+                for (n, v), c in zip(values.items(), slots)}
+        out = out.withColumns({n: F.when(held, F.coalesce(x, F.lit(0))) for n, x in sums.items()})
+        names += values
+    return out.where(real).select(*df.columns, *names)
+
+
 def prior_extreme(df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, Column],
                   how: str = "min", chunk_size: float = 4096) -> DataFrame:
     """One row per (keys, order): ``name`` = min (or max) of ``value`` over rows of the same keys with a

@@ -73,9 +73,11 @@ class Tables:
         return self._table("folds", lambda: make_folds(self.train_base()))
 
     def ftrain(self) -> DataFrame:
-        """Train features with the fold column."""
+        """Train features with the fold column: a join on the written tables, so that a query reads its own columns only."""
         from interlog.operators.folds import apply_folds
-        return self._table("ftrain", lambda: apply_folds(self.train(), self.folds()))
+        if "ftrain" not in self.cache:
+            self.cache["ftrain"] = apply_folds(self.train(), self.folds())
+        return self.cache["ftrain"]
 
     def content_full(self) -> DataFrame:
         """Content dimension with the difficulty aggregates (rows 62-65)."""
@@ -118,8 +120,9 @@ def build_train_base(raw: DataFrame, content: DataFrame) -> DataFrame:
 
 
 def build_asof_features(train50: DataFrame, content: DataFrame, tag_resp: DataFrame) -> DataFrame:
-    """Rows 51, 52 and 66 on top of the row-50 table (``asof_user_content_part``)."""
-    t = asof.asof_tags(train50, tag_resp)
+    """Rows 66, 52 and 51 on top of the row-50 table (``asof_user_content_part``): each adds columns of its own, and the
+    narrow tables that the later ones join come from the columns of ``train50``."""
+    t = asof.asof_upto(train50, UPTO)
     t = asof.asof_session(t, SESSION_HOURS)
-    t = asof.asof_upto(t, UPTO)
+    t = asof.asof_tags(t, tag_resp)
     return t

@@ -45,7 +45,7 @@ def interactions(events: DataFrame) -> DataFrame:
     # per-user start and per-container stats as aggregates + equi-joins (no user-wide window)
     start = ev.groupBy("user_id").agg(F.min("b").alias("b0"))
     bucket = ev.groupBy("user_id", "b").agg(F.max("value").alias("vmax"), F.min("row_id").alias("rmin"))
-    j = ev.join(start, "user_id").join(bucket, ["user_id", "b"])
+    j = ev.join(bucket.join(start, "user_id"), ["user_id", "b"])      # the rows themselves move once
     lecture = F.col("event_type") == LECTURE_EVENT
     first = F.col("b") == F.col("b0")
     return j.select(
