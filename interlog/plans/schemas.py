@@ -116,6 +116,7 @@ SCHEMAS = {'add_columns': [('row_id', 'bigint'), ('ac_rollsum', 'bigint'), ('r_r
                ('pqet_ewma_10', 'bigint'),
                ('pqet_ewma_20', 'bigint'),
                ('pqet_ewma_50', 'bigint')],
+ 'ewma_weight_table': [('offset', 'int'), ('alpha', 'int'), ('weight', 'double'), ('n_containers', 'bigint')],
  'ewma_ts_delta': [('row_id_e', 'bigint'),
                    ('ts_delta_ewma_01', 'bigint'),
                    ('ts_delta_ewma_05', 'bigint'),
