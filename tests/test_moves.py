@@ -80,3 +80,34 @@ def test_ewma_weights_weighs_every_row(spark):
     df = queries()["ewma_weights"](spark, "/root/testdata/sf0.001")
     assert df.columns[0] == "row_id_e"
     assert df.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+
+
+def test_a_user_of_many_keys_lies_in_small_pages():
+    """Totals in pages survive growing, and a small user takes one call."""
+    from interlog.streaming import families
+
+    class Kept(dict):
+        calls = 0
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self[key] = value
+
+    state, depth, count, want = Kept(), 0, 0, {}
+    for batch in range(20):
+        pages = families._Pages(state, depth, count)
+        for i in range(200):
+            key = (i * 7 + batch * 150, -i % 3)
+            pages.totals(*key)[1] += 1
+            want[key] = want.get(key, 0) + 1
+        pages.write()
+        depth, count = pages.depth, pages.count
+        assert batch or state.calls == 2
+    assert count == len(want) and depth > 2
+    again = families._Pages(state, depth, count)
+    assert {k: again.totals(*k)[1] for k in want} == want
+    assert again.count == count and max(len(p) for p in again.pages.values()) < 3 * families.PAGE
