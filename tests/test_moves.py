@@ -111,3 +111,20 @@ def test_a_user_of_many_keys_lies_in_small_pages():
     again = families._Pages(state, depth, count)
     assert {k: again.totals(*k)[1] for k in want} == want
     assert again.count == count and max(len(p) for p in again.pages.values()) < 3 * families.PAGE
+
+
+def test_whole_words_count_as_their_prefixes():
+    """A text's tokens and its longest prefix within a limit, against the counts of all prefixes."""
+    import numpy as np
+    import public_tokenizers
+    from interlog.llm.token_counts import PrefixCounter
+
+    counter = PrefixCounter(str(public_tokenizers.path("word_bpe_49k.json")))
+    draw = random.Random(3)
+    texts = ["", "  ", "a  b\n\nc", "don't 'S it's", "x<|endoftext|>y z", " end "]
+    texts += ["".join(draw.choice(["a", "b", " ", "'", "\n", ".", "é", "中", "9", "<|endoftext|>"]) for _ in range(50)) for _ in range(100)]
+    for text in texts:
+        counts = np.concatenate(list(counter.text(text)))
+        for limit in (0, 1, 3, 10, 30):
+            want = len(text) if counts[-1] <= limit else int(np.flatnonzero(counts <= limit)[-1])
+            assert counter.whole(text, limit) == (int(counts[-1]), want), (text, limit)
