@@ -61,8 +61,17 @@ def factorization_train(df: DataFrame, rank: int = 16, max_iter: int = 10, reg:
 FIXED = 2.0 ** 28
 
 
+def _fixed(value: Column) -> Column:
+    """The value in fixed point, rounded half away from zero. The whole part and what it leaves are exact, so no decimal is
+    made for each value, as ``F.round`` does."""
+    scaled = value * FIXED
+    whole = scaled.cast("long")
+    rest = scaled - whole
+    return whole + (rest >= 0.5).cast("long") - (rest <= -0.5).cast("long")
+
+
 def _fixed_sum(value: Column) -> Column:
-    return F.sum(F.round(value * FIXED).cast("long")) / FIXED
+    return F.sum(_fixed(value)) / FIXED
 
 
 def logistic_factorization_train(df: DataFrame, rank: int = 8, rounds: int = 10, reg: float = 0.1, seed: int = 0,
