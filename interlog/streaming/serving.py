@@ -2,7 +2,7 @@
 
 The reference serves one batch at a time: attach the previous batch's answers, update the user /
 content / tag / part state, read the state for the new questions, score, emit. Here the state lives in
-Spark: either in the streaming state store (``streaming_asof_features``, one small row per user) or in
+Spark: either in the streaming state store (``streaming_asof_features``, a row per bucket of users) or in
 bucketed tables of which ``foreachBatch`` rewrites what a micro-batch touches (``foreach_batch_scoring``).
 """
 
@@ -156,60 +156,82 @@ def upsert_keyed_totals(state: DataFrame, delta: DataFrame, keys: list[str], suf
 
 # ---- row 96: keyed streaming state ---------------------------------------------------------------------------
 
-ASOF_OUT = "row_id long, user_id long, ac_cumsum long, r_cumcnt long, l_cumcnt long, pqet_cumsum long"
-ASOF_STATE = "ac long, r long, l long, e long, pending long"
+ASOF_OUT = ("row_id long, _no_row boolean, _user long, _no_user boolean, ac_cumsum long, r_cumcnt long, l_cumcnt long, "
+            "pqet_cumsum long")
+ASOF_BUCKETS = 2048
+#: the users of a bucket (null has a flag) with their totals and the size of their last question container
+ASOF_HELD = ("user", "none", "ac", "r", "l", "e", "pending")
+ASOF_STATE = ", ".join(f"{c} array<long>" for c in ASOF_HELD)
 
 
 def _asof_step(key, pdfs, state):
-    """Per user: for each container (rows sharing a timestamp) in time order, emit the totals of all
-    earlier containers, then add the container. The elapsed time of the last question container is
-    only known when the next question container arrives (its "prior" field), so it stays pending.
-    Per-container sums are vectorised; only the short loop over this batch's containers is Python."""
-    ac, r, lec, e, pending = state.get if state.exists else (0, 0, 0, 0, 0)
+    """Per bucket of users: for each container (a user's rows sharing a timestamp) in time order, emit the totals of the
+    user's earlier containers, then add the container. The elapsed time of the last question container is only known
+    when the next question container arrives (its "prior" field), so it stays pending. All users of the bucket are
+    worked on at once: running sums over the sorted rows, less what they are where the user begins."""
     frames = [p for p in pdfs if len(p)]
     if not frames:
         return
-    pdf = pd.concat(frames).sort_values(["timestamp", "row_id"], kind="stable")
-    ts = pdf["timestamp"].to_numpy()
-    typ = pdf["content_type_id"].to_numpy()
-    ans = pdf["answered_correctly"].to_numpy()
-    pq = pdf["prior_question_elapsed_time"].to_numpy(dtype="float64")
-    starts = np.flatnonzero(np.r_[True, ts[1:] != ts[:-1]])
-    cid = np.cumsum(np.r_[True, ts[1:] != ts[:-1]]) - 1
-    n = len(starts)
-    isq = typ == 0
-    q_cnt = np.bincount(cid, weights=isq, minlength=n).astype("int64")
-    l_cnt = np.bincount(cid, weights=typ == 1, minlength=n).astype("int64")
-    ac_cnt = np.bincount(cid, weights=np.where(isq, np.clip(ans, 0, None), 0), minlength=n).astype("int64")
+    pdf = pd.concat(frames)
+    order = np.lexsort([pdf[c].to_numpy() for c in ("row_id", "_no_row", "timestamp", "_no_time", "_user", "_no_user")])
+    col = {c: pdf[c].to_numpy()[order] for c in pdf.columns}
+    none, user, ts, late = (col[c] for c in ("_no_user", "_user", "timestamp", "_no_time"))
+    new_user = np.r_[True, (user[1:] != user[:-1]) | (none[1:] != none[:-1])]
+    new = new_user | np.r_[True, (ts[1:] != ts[:-1]) | late[1:]]        # rows without a time stand alone
+    starts = np.flatnonzero(new)
+    first = np.flatnonzero(new_user[starts])                             # a user's first container
+    own = np.cumsum(new_user[starts]) - 1                                # the user of each container
+    isq = col["content_type_id"] == 0
+    counts = {"ac": np.where(isq, np.clip(col["answered_correctly"], 0, None), 0), "r": isq, "l": col["content_type_id"] == 1}
+    counts = {c: np.add.reduceat(x.astype("int64"), starts) for c, x in counts.items()}
+    pq = col["prior_question_elapsed_time"].astype("float64")
     pq_max = np.maximum.reduceat(np.where(isq & ~np.isnan(pq), pq, -np.inf), starts)
-    out = np.empty((n, 4), dtype="int64")
-    for i in range(n):
-        if q_cnt[i]:
-            if pending and np.isfinite(pq_max[i]):
-                e += pending * _round_half_away(pq_max[i])
-        out[i] = (ac, r, lec, e)
-        ac += int(ac_cnt[i])
-        r += int(q_cnt[i])
-        lec += int(l_cnt[i])
-        if q_cnt[i]:
-            pending = int(q_cnt[i])
-    state.update((ac, r, lec, e, pending))
-    vals = out[cid]
-    yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "user_id": pdf["user_id"].to_numpy(),
-                        "ac_cumsum": vals[:, 0], "r_cumcnt": vals[:, 1], "l_cumcnt": vals[:, 2],
-                        "pqet_cumsum": vals[:, 3]})
-
-
-def _round_half_away(x: float) -> int:
-    return int(np.floor(abs(x) + 0.5)) * (1 if x >= 0 else -1)
-
-
-def streaming_asof_features(stream: DataFrame) -> DataFrame:
-    """As-of user totals on a stream of raw interactions (row 50's user family, question rows equal)."""
-    cols = stream.select("row_id", "user_id", "timestamp", "content_type_id", "answered_correctly",
-                         "prior_question_elapsed_time")
-    out = cols.groupBy("user_id").applyInPandasWithState(
+
+    # what the state holds of the users at hand; users without rows in this batch keep their place
+    held = [np.asarray(x, "int64") for x in state.get] if state.exists else [np.zeros(0, "int64")] * len(ASOF_HELD)
+    place = {u: i for i, u in enumerate(zip(held[0].tolist(), held[1].tolist(), strict=True))}
+    mine = list(zip(user[starts[first]].tolist(), none[starts[first]].astype("int64").tolist(), strict=True))
+    at = np.array([place.setdefault(u, len(place)) for u in mine])
+    names = np.array(list(place), "int64").reshape(-1, 2)
+    table = {c: np.r_[x, np.zeros(len(place) - len(x), "int64")] for c, x in zip(ASOF_HELD[2:], held[2:], strict=True)}
+    table |= {"user": names[:, 0], "none": names[:, 1]}
+
+    asked = counts["r"] > 0
+    last = np.maximum.accumulate(np.where(asked, np.arange(len(starts)), -1))
+    before = np.r_[-1, last[:-1]]                                        # the question container before, if of the same user
+    pending = np.where(before >= first[own], counts["r"][before], table["pending"][at][own])
+    known = asked & (pending > 0) & np.isfinite(pq_max)
+    elapsed = np.where(known, pq_max, 0.0)
+    added = pending * (np.floor(np.abs(elapsed) + 0.5) * np.where(elapsed >= 0, 1, -1)).astype("int64") * known
+    out = {}
+    for c, x in {**counts, "e": added}.items():
+        total = np.cumsum(x)
+        total = total - (total - x)[first][own] + table[c][at][own]      # with this container
+        table[c][at] = total[np.r_[first[1:], len(starts)] - 1]
+        out[c] = total if c == "e" else total - x                        # elapsed times are those of earlier containers
+    ends = last[np.r_[first[1:], len(starts)] - 1]
+    table["pending"][at] = np.where(ends >= first, counts["r"][ends], table["pending"][at])
+    state.update(tuple(table[c].tolist() for c in ASOF_HELD))
+    cid = np.cumsum(new) - 1
+    yield pd.DataFrame({"row_id": col["row_id"], "_no_row": col["_no_row"], "_user": user, "_no_user": none,
+                        "ac_cumsum": out["ac"][cid], "r_cumcnt": out["r"][cid], "l_cumcnt": out["l"][cid], "pqet_cumsum": out["e"][cid]})
+
+
+def streaming_asof_features(stream: DataFrame, buckets: int = ASOF_BUCKETS) -> DataFrame:
+    """As-of user totals on a stream of raw interactions (row 50's user family, question rows equal).
+
+    The state is keyed by a bucket of users (``buckets``, fixed for a checkpoint), so a micro-batch costs a Python call for
+    each bucket that its users fall into, however many users it has."""
+    zero = F.lit(0).cast("long")
+    cols = stream.select(F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("_bucket"),
+                         *[F.coalesce(c, zero).alias(n) for c, n in (("user_id", "_user"), ("row_id", "row_id"), ("timestamp", "timestamp"))],
+                         *[F.col(c).isNull().alias(n) for c, n in (("user_id", "_no_user"), ("row_id", "_no_row"), ("timestamp", "_no_time"))],
+                         F.coalesce("content_type_id", F.lit(-1).cast("long")).alias("content_type_id"),
+                         F.coalesce("answered_correctly", zero).alias("answered_correctly"), "prior_question_elapsed_time")
+    out = cols.groupBy("_bucket").applyInPandasWithState(
         _asof_step, ASOF_OUT, ASOF_STATE, "append", GroupStateTimeout.NoTimeout)
+    out = out.select(F.when(~F.col("_no_row"), F.col("row_id")).alias("row_id"), F.when(~F.col("_no_user"), F.col("_user")).alias("user_id"),
+                     "ac_cumsum", "r_cumcnt", "l_cumcnt", "pqet_cumsum")
     return (out.withColumn("ac_cumsum_pct", safe_pct("ac_cumsum", "r_cumcnt"))
                .withColumn("pqet_cumavg", safe_avg("pqet_cumsum", "r_cumcnt")))
 
