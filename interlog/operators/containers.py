@@ -106,11 +106,14 @@ def ts_delta(df: DataFrame) -> DataFrame:
 
 
 def container_neighbours(df: DataFrame) -> DataFrame:
-    """``pqet_current`` and ``ts_delta`` with one per-container table and one join."""
+    """``pqet_current`` and ``ts_delta`` with one per-container table, made once, and one join: each container tells the
+    one before it its elapsed time and the one after it its time."""
     qc = _question_containers(df, "prior_question_elapsed_time")
-    nxt = qc.select("user_id", (F.col(TCQ) - 1).alias(TCQ), F.col("_v").alias("_next"))
-    prev = qc.select("user_id", (F.col(TCQ) + 1).alias(TCQ), F.col("_ts").alias("_prev_ts"))
-    both = nxt.join(prev, ["user_id", TCQ], "full")
+    kinds = {c: qc.schema[c].dataType for c in ("_v", "_ts")}
+    told = F.array(F.struct((F.col(TCQ) - 1).alias(TCQ), F.col("_v").alias("_next"), F.lit(None).cast(kinds["_ts"]).alias("_prev_ts")),
+                   F.struct((F.col(TCQ) + 1).alias(TCQ), F.lit(None).cast(kinds["_v"]).alias("_next"), F.col("_ts").alias("_prev_ts")))
+    both = (qc.select("user_id", F.explode(told).alias("_told")).select("user_id", "_told.*")
+            .groupBy("user_id", TCQ).agg(F.max("_next").alias("_next"), F.max("_prev_ts").alias("_prev_ts")))
     return (df.join(both, ["user_id", TCQ], "left")
               .withColumn("pqet_current", F.when(is_l(), F.lit(0).cast("long")).otherwise(round_long("_next")))
               .withColumn("ts_delta", F.when(is_l(), F.lit(0).cast("long"))
