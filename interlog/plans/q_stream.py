@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from interlog.functions.expr import safe_pct
 from interlog.operators import embedding, state
+from interlog.operators.asof import with_part
 from interlog.operators.containers import TC, is_q
 from interlog.plans.q_more import EMB_SQL, FOLDS, _emb
 from interlog.plans.registry import T, register
@@ -49,7 +50,7 @@ def q_stream_attach(spark, sf):
 
 def users_state0(t):
     """Serving user state (the reference's users table) from the rows before each fold start."""
-    hist = t.ftrain().where(F.col("fold").isNull())
+    hist = t.user_history().where(F.col("fold").isNull())
     f = state.user_final_state(hist, 10)
     return f.select(
         "user_id", "ac_cumsum", (F.col("r_cumcnt") - F.col("ac_cumsum")).alias("aic_cumsum"), "r_cumcnt", "l_cumcnt",
@@ -60,7 +61,7 @@ def users_state0(t):
 
 def first_fold_container(t):
     f = t.folds().select(F.col("user_id_s").alias("user_id"), "task_container_id_min")
-    return (t.ftrain().where(F.col("fold").isNotNull()).join(f, "user_id")
+    return (with_part(t.fbase(), t.content()).where(F.col("fold").isNotNull()).join(f, "user_id")
              .where(F.col(TC) == F.col("task_container_id_min")).drop("task_container_id_min"))
 
 
@@ -146,7 +147,7 @@ FROM (SELECT * FROM old UNION ALL SELECT * FROM dd) GROUP BY user_id, part""")
 def q_upsert_part(spark, sf):
     """(user, part) question and lecture counters merged with one micro-batch (rows 94 / 95)."""
     t = T(spark, sf)
-    hist = t.ftrain().where(F.col("fold").isNull())
+    hist = with_part(t.fbase(), t.content()).where(F.col("fold").isNull())
     old = serving.upsert_keyed_totals(
         t.spark.createDataFrame([], "user_id long, part long, ac_cumsum_part long, aic_cumsum_part long, "
                                     "r_cumcnt_part long, l_cumcnt_part long"), hist, ["user_id", "part"], "_part")
@@ -195,8 +196,8 @@ def _merged(spark, sf, name):
     t = T(spark, sf)
     cols = ("row_id", "user_id", "timestamp", "content_id", "content_type_id", "answered_correctly")
     serve = ServingTables(spark, scratch(spark, name), t.content(), buckets=16)
-    serve.merge(0, t.ftrain().where(F.col("fold").isNull()).select(*cols), only=[name])
-    live = t.ftrain().where(F.col("fold").isNotNull())
+    serve.merge(0, t.fbase().where(F.col("fold").isNull()).select(*cols), only=[name])
+    live = t.fbase().where(F.col("fold").isNotNull())
     low, high = live.agg(F.min("batch_id"), F.max("batch_id")).first()
     if low is not None:
         place = F.floor((F.col("batch_id") - low) * 3 / (high - low + 1))
@@ -238,7 +239,7 @@ def q_foreach(spark, sf):
     state (as-of rate averaged with the embedding score) and then merged into the state."""
     t = T(spark, sf)
     users, contents = _emb(spark, sf)
-    rows = (t.ftrain().where(F.col("fold").isNotNull())
+    rows = (t.fbase().where(F.col("fold").isNotNull())
              .select("row_id", "user_id", "content_id", "timestamp", "content_type_id", "answered_correctly", "batch_id"))
     src = scratch(spark, "score-src")
     parts = serving.replay_files(rows, src, n_chunks=4, partitions=spark.sparkContext.defaultParallelism)

@@ -79,6 +79,21 @@ class Tables:
             self.cache["ftrain"] = apply_folds(self.train(), self.folds())
         return self.cache["ftrain"]
 
+    def fbase(self) -> DataFrame:
+        """The rows of ``ftrain`` without the as-of features, for queries that read none: those tables need not be made."""
+        from interlog.operators.folds import apply_folds
+        if "fbase" not in self.cache:
+            self.cache["fbase"] = apply_folds(self.train_base(), self.folds())
+        return self.cache["fbase"]
+
+    def user_history(self) -> DataFrame:
+        """The columns of ``ftrain`` that the users' final state is made of; they need rows 50 and 52 only."""
+        from interlog.operators.folds import apply_folds
+        cols = ("row_id", "user_id", "tid_orig", "task_container_id", "timestamp", "content_type_id", "answered_correctly", "pqet_current",
+                "ts_delta", "r_cumcnt", "r_cumcnt_clip", "session")
+        return apply_folds(self._table("user_history", lambda: asof.asof_session(self.train50(), SESSION_HOURS).select(*cols)),
+                           self.folds())
+
     def content_full(self) -> DataFrame:
         """Content dimension with the difficulty aggregates (rows 62-65)."""
         from interlog.operators.content_stats import content_after

@@ -144,14 +144,13 @@ def upsert_user_state(users: DataFrame, delta: DataFrame, hours: float = SESSION
 
 
 def upsert_keyed_totals(state: DataFrame, delta: DataFrame, keys: list[str], suffix: str) -> DataFrame:
-    """(user, attribute) totals: old state plus the micro-batch, merged with union + groupBy."""
-    d = delta.groupBy(*keys).agg(
-        F.sum(F.when(is_q(), F.col("answered_correctly")).otherwise(0)).alias(f"ac_cumsum{suffix}"),
-        F.sum(F.when(is_q(), 1 - F.col("answered_correctly")).otherwise(0)).alias(f"aic_cumsum{suffix}"),
-        F.sum(is_q().cast("long")).alias(f"r_cumcnt{suffix}"),
-        F.sum(is_l().cast("long")).alias(f"l_cumcnt{suffix}"))
-    cols = [f"{p}{suffix}" for p in ("ac_cumsum", "aic_cumsum", "r_cumcnt", "l_cumcnt")]
-    return state.select(*keys, *cols).unionByName(d).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
+    """(user, attribute) totals: old state plus the micro-batch, merged with union + groupBy. The rows go into the one
+    grouping as they are, so they are added up before they move and move once."""
+    names = [f"{p}{suffix}" for p in ("ac_cumsum", "aic_cumsum", "r_cumcnt", "l_cumcnt")]
+    values = (F.when(is_q(), F.col("answered_correctly")).otherwise(0), F.when(is_q(), 1 - F.col("answered_correctly")).otherwise(0),
+              is_q().cast("long"), is_l().cast("long"))
+    d = delta.select(*keys, *[v.alias(n) for n, v in zip(names, values, strict=True)])
+    return state.select(*keys, *names).unionByName(d).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
 
 
 # ---- row 96: keyed streaming state ---------------------------------------------------------------------------
