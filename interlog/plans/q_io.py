@@ -95,7 +95,7 @@ def q_fold_export(spark, sf):
 SELECT CASE WHEN fold IN (0, 1) THEN 'valid' ELSE 'train' END AS split, COUNT(*) AS n_rows, true AS within_limit
 FROM ftrain WHERE content_type_id = 0 GROUP BY 1""")
 def q_shard_export(spark, sf):
-    df = (T(spark, sf).ftrain().where(is_q())
+    df = (T(spark, sf).fbase().where(is_q())
           .withColumn("split", F.when(F.col("fold").isin(0, 1), "valid").otherwise("train"))
           .select("row_id", "user_id", "content_id", "answered_correctly", "split"))
     files = io.shard_export(df, scratch(spark, "shards"), "split", 1000)
@@ -111,16 +111,14 @@ SELECT split, CAST(place // 1000 AS BIGINT) AS shard, COUNT(*) AS n_rows, COUNT(
 FROM placed GROUP BY 1, 2""")
 def q_exact_shards(spark, sf):
     """The manifest's shards with what their files hold: rows, the sum and bounds of their ids."""
-    df = (T(spark, sf).ftrain().where(is_q())
+    df = (T(spark, sf).fbase().where(is_q())
           .withColumn("split", F.when(F.col("fold").isin(0, 1), "valid").otherwise("train"))
           .select("row_id", "user_id", "content_id", "answered_correctly", "split"))
     path = scratch(spark, "exact-shards")
-    manifest = io.exact_shards(df, path, "split", 1000, ["row_id"])
-    held = spark.read.parquet(path).groupBy("split", F.col("shard").alias("folder")).agg(
-        F.sum("row_id").alias("row_ids"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"))
+    manifest = io.exact_shards(df, path, "split", 1000, ["row_id"], {
+        "row_ids": F.sum("row_id"), "first_row": F.min("row_id"), "last_row": F.max("row_id")})
     named = F.regexp_extract("folder", "-([0-9]+)rows", 1).cast("long").alias("named_rows")
-    return manifest.join(held, ["split", "folder"]).select("split", "shard", F.col("rows").alias("n_rows"), named, "files",
-                                                           "row_ids", "first_row", "last_row")
+    return manifest.select("split", "shard", F.col("rows").alias("n_rows"), named, "files", "row_ids", "first_row", "last_row")
 
 
 _TP = list(fixture.TABLES)

@@ -6,7 +6,7 @@ import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,12 +100,14 @@ def shard_export(df: DataFrame, path: str, split: str, rows_per_file: int) -> Da
     return back.groupBy(split, F.input_file_name().alias("file")).agg(F.count("*").alias("rows"))
 
 
-def exact_shards(df: DataFrame, path: str, split: str, size: int, order: Sequence[str]) -> DataFrame:
+def exact_shards(df: DataFrame, path: str, split: str, size: int, order: Sequence[str],
+                 held: Mapping[str, Column] | None = None) -> DataFrame:
     """Parquet shards of exactly ``size`` rows in the order ``order`` within each split; a split's last holds the rest.
 
     A row's shard is its position in its split divided by ``size``. One task writes a shard as one file in a folder that
     names its number and rows (``shard=00012-1000rows``); ``_manifest`` beside them lists (split, shard, rows, folder) and
-    is returned. ``order`` must tell the rows of a split apart; a null split is a split like others.
+    is returned. ``order`` must tell the rows of a split apart; a null split is a split like others. The files are listed
+    and read back once, for the manifest and for ``held``: further aggregates of each shard's rows, columns of the manifest.
     """
     from interlog.operators.ranges import positions
     from interlog.session import sized_broadcast
@@ -119,13 +121,12 @@ def exact_shards(df: DataFrame, path: str, split: str, size: int, order: Sequenc
     folder = F.format_string("%05d-%drows", number, rows)
     shards = at.withColumn("shard", folder).select(*df.columns, "shard").repartition(split, "shard")
     shards.sortWithinPartitions(split, "shard", *order).write.mode("overwrite").partitionBy(split, "shard").parquet(path)
-    back = spark.read.schema(shards.schema).parquet(path)
-    files = back.groupBy(split, F.col("shard").alias("folder"), F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
-    manifest = files.groupBy(split, "folder").agg(F.sum("n").alias("rows"), F.count("*").alias("files"))
-    manifest.select(split, F.substring_index("folder", "-", 1).cast("long").alias("shard"), "rows", "files", "folder").write.mode(
-        "overwrite").json(path.rstrip("/") + "/_manifest")
-    return spark.read.schema(f"{split} {df.schema[split].dataType.simpleString()}, shard long, rows long, files long, folder string").json(
-        path.rstrip("/") + "/_manifest")
+    back = spark.read.schema(shards.schema).parquet(path).withColumn("_file", F.input_file_name())
+    found = back.groupBy(split, F.col("shard").alias("folder")).agg(
+        F.count("*").alias("rows"), F.size(F.collect_set("_file")).cast("long").alias("files"), *[c.alias(n) for n, c in (held or {}).items()])
+    manifest = found.select(split, F.substring_index("folder", "-", 1).cast("long").alias("shard"), "rows", "files", "folder", *(held or {}))
+    manifest.write.mode("overwrite").json(path.rstrip("/") + "/_manifest")
+    return spark.read.schema(manifest.schema).json(path.rstrip("/") + "/_manifest")
 
 
 def table_profile(spark: SparkSession, names: Sequence[str]) -> DataFrame:

@@ -69,3 +69,10 @@ def test_exact_shards_hold_exactly_the_asked_rows(spark, tmp_path):
     assert len(glob.glob(path + "/split=*/shard=*/*.parquet")) == 15
     held = spark.read.parquet(path).groupBy("split", "shard").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("split = 'valid'")
     assert sorted((r.a, r.b) for r in held.collect()) == [(1 + 270 * k + 2, min(270 * (k + 1), 1200)) for k in range(5)]
+
+
+def test_exact_shards_manifest_tells_what_the_files_hold(spark, tmp_path):
+    df = spark.range(250).select("id", F.when(F.col("id") < 100, "valid").alias("split"))
+    got = exact_shards(df, str(tmp_path / "held"), "split", 60, ["id"], {"ids": F.sum("id"), "low": F.min("id")}).collect()
+    want = [("valid", 0, 0, 60), ("valid", 1, 60, 100), (None, 0, 100, 160), (None, 1, 160, 220), (None, 2, 220, 250)]
+    assert {(r.split, r.shard, r.rows, r.files, r.ids, r.low) for r in got} == {(s, k, b - a, 1, sum(range(a, b)), a) for s, k, a, b in want}
