@@ -9,8 +9,9 @@ makes no hot list. Two sets that link and have at most ``posted`` values in thei
 Pairs of a list are met in rounds: first every member with the list's first pivot, then with the next three.
 After each round linked documents are merged, and lists whose members are all in one component are done, so
 a large group of copies costs a few pairs a member. The lists that still hold several components then meet
-whole inside tasks: a long list is dealt out in tiles, a task compares two tiles, and only a forest of the
-links it found leaves it, never pairs. Of lists with the same members one is kept. Pairs are kept by size, then
+whole inside tasks: lists with the same first pivot are one if they fit into a tile, a longer list is dealt
+out in tiles, a task compares two tiles, and only a forest of the links it found leaves it, never pairs.
+Of lists with the same members one is kept. Pairs are kept by size, then
 by the similarity that the union's sketch estimates, and confirmed on the full sets.
 
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a shingle make
@@ -142,10 +143,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     every = cut_lineage(sketches(docs, id_col, text_col, width, k), "sketches")
     classes = cut_lineage(every.where("n > 0 and doc_id is not null").groupBy("digest", "n")
                           .agg(F.min("doc_id").alias("rep")), "sketch_classes")
-    reps = every.select("doc_id", "n", "low").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    reps = only(every.select("doc_id", "n", "low"), classes.select(F.col("rep").alias("doc_id")))
     by_key = Window.partitionBy("key")
+    in_order = by_key.orderBy(F.xxhash64("doc_id"), "doc_id")
     lists = (postings(reps, posted).withColumn("members", F.count("*").over(by_key)).where("members > 1")
-             .withColumn("place", F.row_number().over(by_key.orderBy(F.xxhash64("doc_id"), "doc_id"))).drop("members"))
+             .withColumn("place", F.row_number().over(in_order)).withColumn("pivot", F.first("doc_id").over(in_order)).drop("members"))
     lists = cut_lineage(lists, "sketch_lists")
     lists = cut_lineage(lists.join(different(lists), "key", "left_semi"), "sketch_lists")
     roots = linked(lists, every, _texts(docs, id_col, text_col), width, percent, k, least_estimate, tile)
@@ -195,7 +197,7 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 def still_open(lists: DataFrame, roots: DataFrame, met: int) -> DataFrame:
     """Lists, each member with its component, that hold several components and members beyond those that all have met."""
     mine = lists.join(roots, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "doc_id", "n", "place", F.coalesce("root", "doc_id").alias("root"))
+        "key", "pivot", "doc_id", "n", "place", F.coalesce("root", "doc_id").alias("root"))
     split = (mine.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("place").alias("last"))
              .where((F.col("x") < F.col("y")) & (F.col("last") > met)).select("key"))
     return cut_lineage(mine.join(split, "key", "left_semi"), "open_lists")
@@ -206,11 +208,20 @@ def met_in_tasks(mine: DataFrame, texts: DataFrame, width: int, percent: int, k:
     """(a, b): forests of the confirmed links between members of a list; a task holds two tiles of one list."""
     whole = whole_sets(texts, cut_lineage(mine.select("doc_id").distinct(), "open_ids"), width).select("doc_id", "own")
     whole = cut_lineage(whole, "open_sets")
-    found = dealt(mine, tile).join(whole, "doc_id").groupBy("key", "i", "j").applyInArrow(
+    found = dealt(gathered(mine, tile), tile).join(whole, "doc_id").groupBy("key", "i", "j").applyInArrow(
         lambda cell: links_in(cell, percent, k, least_estimate), "a long, b long")
     return cut_lineage(found.distinct(), "links")
 
 
+def gathered(mine: DataFrame, tile: int) -> DataFrame:
+    """The lists with the same first pivot as one list, if all their members fit into a tile: near texts share many lists,
+    and so a full set goes once to its pivot's task, not once for each list. Longer ones stay as they are."""
+    once = mine.select("pivot", "doc_id", "n", "root").distinct()
+    fit = once.groupBy("pivot").agg(F.sum(F.greatest("n", F.lit(128))).alias("values")).where(F.col("values") <= tile).select("pivot")
+    lists = once.join(fit, "pivot", "left_semi").select(F.col("pivot").alias("key"), "doc_id", "n", "root")
+    return cut_lineage(lists.union(mine.join(fit, "pivot", "left_anti").select("key", "doc_id", "n", "root")), "open_groups")
+
+
 def dealt(mine: DataFrame, tile: int) -> DataFrame:
     """The members of each list once for every cell (two tiles, or a tile with itself) that they stand in."""
     tiles = mine.groupBy("key").agg(F.ceil(F.sum(F.greatest("n", F.lit(128))) / tile).cast("int").alias("tiles"))

@@ -74,6 +74,35 @@ def test_minhash_family_at_the_threshold(spark):
         assert got == want
 
 
+def test_minhash_near_texts_go_once_to_a_task(spark, monkeypatch):
+    """Near texts below the threshold share many lists; a text goes to its pivots' tasks, not to one for each list."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    rows = []
+    for i in range(40):
+        text = list(base)
+        for at in rng.sample(range(120), 3):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text)))
+    rows += [(100 + i, rows[i][1] + " end") for i in (3, 9)]
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = classes(sets, links)
+    assert len(set(want.values())) > 20
+    dealt, real = [], minhash.dealt
+
+    def counted(mine, tile):
+        dealt.append((mine.count(), mine.select("key").distinct().count(), mine.select("key", "doc_id").distinct().count()))
+        return real(mine, tile)
+    monkeypatch.setattr(minhash, "dealt", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile in (minhash.TILE, 2000):                   # 2000: no group fits, all lists stay as they are
+        got = {r.doc_id: r.component_id for r in minhash.near_copies(frame, width=4, tile=tile).collect()}
+        assert got == want
+    (near, tasks, once), (lists, _, _) = dealt
+    assert near == once and tasks <= 42 and near * 2 < lists
+
+
 def test_minhash_edges(spark, docs, no_docs):
     got = minhash.near_copies(docs).collect()
     assert len(got) == 8 and minhash.near_copies(no_docs).count() == 0
