@@ -217,9 +217,11 @@ def gathered(mine: DataFrame, tile: int) -> DataFrame:
     """The lists with the same first pivot as one list, if all their members fit into a tile: near texts share many lists,
     and so a full set goes once to its pivot's task, not once for each list. Longer ones stay as they are."""
     once = mine.select("pivot", "doc_id", "n", "root").distinct()
-    fit = once.groupBy("pivot").agg(F.sum(F.greatest("n", F.lit(128))).alias("values")).where(F.col("values") <= tile).select("pivot")
-    lists = once.join(fit, "pivot", "left_semi").select(F.col("pivot").alias("key"), "doc_id", "n", "root")
-    return cut_lineage(lists.union(mine.join(fit, "pivot", "left_anti").select("key", "doc_id", "n", "root")), "open_groups")
+    long = (once.groupBy("pivot").agg(F.sum(F.greatest("n", F.lit(128))).alias("values"))
+            .where(F.col("values") > tile).select("pivot"))             # few, as each has more values than a tile
+    long = F.broadcast(cut_lineage(long, "long_groups"))
+    lists = once.join(long, "pivot", "left_anti").select(F.col("pivot").alias("key"), "doc_id", "n", "root")
+    return cut_lineage(lists.union(mine.join(long, "pivot", "left_semi").select("key", "doc_id", "n", "root")), "open_groups")
 
 
 def dealt(mine: DataFrame, tile: int) -> DataFrame:
